@@ -35,7 +35,7 @@ RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 def keyed(docs: DataFrame) -> DataFrame:
     """k, t (the document's identity), doc_id, text; hash-partitioned so that each level reads one exchange again."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)).alias("k"), F.xxhash64(text).alias("t"), text.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)).alias("k"), F.hash(text).alias("t"), text.alias("text"))
 
 
 def _representatives(h: np.ndarray, ok: np.ndarray, n: int) -> np.ndarray:
@@ -134,7 +134,7 @@ def _long_windows(previous: int | None, length: int):
         out_1, out_2, lists = [one[keep]], [two[keep]], [None] * len(keep)
         if len(known):
             by, begin = np.unique(rows[known], return_index=True)
-            own = W.mix(k[by].view(np.uint64) ^ t[by].view(np.uint64))  # a key of its own: these rows meet no other
+            own = W.mix(k[by].view(np.uint64) ^ W.mix(t[by].astype(np.uint64)))  # a key of its own: these rows meet no other
             out_k.append(k[by]), out_t.append(t[by]), out_p.append(np.full(len(by), -1))
             out_1.append(own), out_2.append(~own)
             lists += np.split(place[known].astype(np.int32), begin[1:])
@@ -144,6 +144,14 @@ def _long_windows(previous: int | None, length: int):
     return run
 
 
+def copies(base: DataFrame) -> DataFrame:
+    """k, t, copy: documents whose whole text is that of a document with a smaller id; each of their windows starts
+    earlier, and none of them starts earlier than that document's."""
+    prints = base.select(*KEY, F.md5("text").alias("d"))
+    first = prints.groupBy("d").agg(F.min("k").alias("m"), F.count("*").alias("n")).filter("n > 1")
+    return prints.join(first, "d").filter("k > m").select(*KEY, F.lit(True).alias("copy")).distinct()
+
+
 def repeated_places(base: DataFrame, min_words: int = 20, start_words: int = 5) -> DataFrame:
     """k, t, places: starts of the windows of min_words words whose sequence also starts earlier, by document."""
     levels = [start_words]
@@ -151,13 +159,14 @@ def repeated_places(base: DataFrame, min_words: int = 20, start_words: int = 5)
         levels.append(levels[-1] * 2)
     if start_words < 1 or levels[-1] != min_words:
         raise ValueError("min_words must be start_words times a power of two")
+    base = base.join(copies(base), KEY, "left_anti")  # whole copies are settled
     given, previous = base, None
     for level in levels[:-1]:
-        found = W.mapped(given, _candidates(level, previous, min_words), "k bigint, t bigint, place int, h bigint")
-        twice = found.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "place")).alias("a"), F.max(F.struct(*KEY, "place")).alias("b")).filter("a <> b").select("h")
+        found = W.mapped(given, _candidates(level, previous, min_words), "k bigint, t int, place int, h bigint")
+        twice = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
         alive = found.join(twice, "h", "left_semi").groupBy(*KEY).agg(F.collect_set("place").alias("places"))
         given, previous = base.join(alive, KEY), level
-    found = W.mapped(given, _long_windows(previous, min_words), "k bigint, t bigint, place int, h bigint, g bigint, known array<int>", most=16 << 20)
+    found = W.mapped(given, _long_windows(previous, min_words), "k bigint, t int, place int, h bigint, g bigint, known array<int>", most=8 << 20)
     least = F.min(F.struct(*KEY, "place")).over(Window.partitionBy("h", "g"))
     flagged = found.withColumn("least", least).filter(F.col("known").isNotNull() | (F.struct(*KEY, "place") > F.col("least")))
     return flagged.groupBy(*KEY).agg(F.array_distinct(F.flatten(F.collect_list(F.coalesce("known", F.array("place"))))).alias("places"))
@@ -177,7 +186,8 @@ def _covered(words: W.Words, listed: list[np.ndarray | None], length: int) -> np
 def _kept(length: int, with_text: bool):
     def run(part: pa.RecordBatch):
         words = W.split(part.column("text"))
-        gone = _covered(words, _places(part.column("places")), length)
+        whole_copy = W.pc.fill_null(part.column("copy"), False).to_numpy(zero_copy_only=False) & (np.diff(words.first) >= length)
+        gone = _covered(words, _places(part.column("places")), length) | whole_copy[words.row]
         whole = words.buf.tobytes()
         n, removed, digests, texts = [], [], [], []
         for row in range(part.num_rows):
@@ -201,17 +211,17 @@ def _kept(length: int, with_text: bool):
 def digest(docs: DataFrame, min_words: int = 20, start_words: int = 5) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space)."""
     base = keyed(docs)
-    marked = base.join(repeated_places(base, min_words, start_words), KEY, "left")
+    marked = base.join(repeated_places(base, min_words, start_words), KEY, "left").join(copies(base), KEY, "left")
     return W.mapped(marked, _kept(min_words, False), RESULT)
 
 
 def rewritten(docs: DataFrame, min_words: int = 20, start_words: int = 5) -> DataFrame:
     """docs with text replaced by its kept words, joined by one space, where something was removed; all columns stay."""
     base = keyed(docs)
-    places = repeated_places(base, min_words, start_words)
+    places = repeated_places(base, min_words, start_words).join(copies(base), KEY, "full")
     marked = base.join(places, KEY).dropDuplicates(KEY)
-    changed = W.mapped(marked, _kept(min_words, True), "k bigint, t bigint, n_words bigint, n_removed bigint, kept_text string").select(F.col("k").alias("_k"), F.col("t").alias("_t"), F.col("kept_text").alias("_kept"))
-    own = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    changed = W.mapped(marked, _kept(min_words, True), "k bigint, t int, n_words bigint, n_removed bigint, kept_text string").select(F.col("k").alias("_k"), F.col("t").alias("_t"), F.col("kept_text").alias("_kept"))
+    own = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)), F.hash(F.coalesce(F.col("text"), F.lit("")))
     both = docs.withColumns({"_k": own[0], "_t": own[1]}).join(changed, ["_k", "_t"], "left")
     return both.withColumn("text", F.coalesce("_kept", "text")).select(*docs.columns)
 

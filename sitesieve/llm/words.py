@@ -86,7 +86,7 @@ def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base modulo 2**64 and of its inverse."""
     have = _tables.get(which)
     if have is None or len(have[0]) < n:
-        size = 1 << max(20, int(n).bit_length())
+        size = 1 << max(19, int(n).bit_length())
         out = []
         for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
             table = np.full(size, base, U)
@@ -103,12 +103,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def hashes(words: Words, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of each word's bytes; two values of `which` give independent hashes."""
-    power, inverse = _powers(len(words.buf) + 1, which)
-    sums = np.zeros(len(words.buf) + 1, U)
-    np.cumsum((words.buf.astype(U) + U(1)) * power[: len(words.buf)], out=sums[1:])
-    return mix((sums[words.end] - sums[words.start]) * inverse[words.start])
+def hashes(words: Words, which: int = 0, reach: int = 1 << 18) -> np.ndarray:
+    """A 64-bit hash of each word's bytes; two values of `which` give independent hashes.
+
+    Prefix sums run over stretches of `reach` bytes (or one longer word), which bounds the tables of powers."""
+    out, n, i = np.empty(len(words.start), U), len(words.start), 0
+    while i < n:
+        begin = int(words.start[i])
+        j = max(i + 1, int(np.searchsorted(words.end, begin + reach, "right")))
+        stop = int(words.end[j - 1])
+        power, inverse = _powers(stop - begin + 1, which)
+        sums = np.zeros(stop - begin + 1, U)
+        np.cumsum((words.buf[begin:stop].astype(U) + U(1)) * power[: stop - begin], out=sums[1:])
+        start = words.start[i:j] - begin
+        out[i:j] = mix((sums[words.end[i:j] - begin] - sums[start]) * inverse[start])
+        i = j
+    return out
 
 
 def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
