@@ -32,10 +32,12 @@ KEY = ["k", "t"]
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """k, t (the document's identity), doc_id, text; hash-partitioned so that each level reads one exchange again."""
+def keyed(docs: DataFrame, rest: list[str] | None = None) -> DataFrame:
+    """k, t (the document's identity), text and, in a struct, the columns named rest. All levels read all of it, so
+    that they have one exchange of the texts in common."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)).alias("k"), F.hash(text).alias("t"), text.alias("text"))
+    more = [F.struct(*rest).alias("rest")] if rest else []
+    return docs.select(*more, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)).alias("k"), F.hash(text).alias("t"), text.alias("text"))
 
 
 def _representatives(h: np.ndarray, ok: np.ndarray, n: int) -> np.ndarray:
@@ -216,14 +218,21 @@ def digest(docs: DataFrame, min_words: int = 20, start_words: int = 5) -> DataFr
 
 
 def rewritten(docs: DataFrame, min_words: int = 20, start_words: int = 5) -> DataFrame:
-    """docs with text replaced by its kept words, joined by one space, where something was removed; all columns stay."""
-    base = keyed(docs)
-    places = repeated_places(base, min_words, start_words).join(copies(base), KEY, "full")
-    marked = base.join(places, KEY).dropDuplicates(KEY)
-    changed = W.mapped(marked, _kept(min_words, True), "k bigint, t int, n_words bigint, n_removed bigint, kept_text string").select(F.col("k").alias("_k"), F.col("t").alias("_t"), F.col("kept_text").alias("_kept"))
-    own = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)), F.hash(F.coalesce(F.col("text"), F.lit("")))
-    both = docs.withColumns({"_k": own[0], "_t": own[1]}).join(changed, ["_k", "_t"], "left")
-    return both.withColumn("text", F.coalesce("_kept", "text")).select(*docs.columns)
+    """docs with text replaced by its kept words, joined by one space, where something was removed; all columns stay.
+    Null texts become empty texts."""
+    names = docs.columns
+    base = keyed(docs, [c for c in names if c != "text"])
+    kept = _kept(min_words, True)
+
+    def run(part: pa.RecordBatch):
+        told, rest = kept(part), part.column("rest")
+        changed = W.pc.greater(told.column("n_removed"), 0)
+        own = {"text": W.pc.if_else(changed, told.column("kept_text"), part.column("text").cast(pa.string()))}
+        own |= {f.name: rest.field(i) for i, f in enumerate(rest.type)}
+        return pa.RecordBatch.from_arrays([own[c] for c in names], names=names)
+
+    marked = base.join(repeated_places(base, min_words, start_words), KEY, "left").join(copies(base), KEY, "left")
+    return W.mapped(marked, run, docs.schema)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
