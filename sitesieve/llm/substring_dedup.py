@@ -29,6 +29,8 @@ from sitesieve.llm import shared
 from sitesieve.llm import words as W
 
 KEY = ["k", "t"]
+#: Hashes told to every task: 8 bytes each.
+FREQUENT = 1000
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
@@ -154,6 +156,19 @@ def copies(base: DataFrame) -> DataFrame:
     return prints.join(first, "d").filter("k > m").select(*KEY, F.lit(True).alias("copy")).distinct()
 
 
+def _repeated(found: DataFrame) -> DataFrame:
+    """k, t, place of the windows whose hash occurs twice or more.
+
+    The FREQUENT commonest hashes, a list of fixed length, are told to every task: their windows are known to repeat
+    and are dealt out by a hash of their place, so that no task of the join gets all windows of one hash. What remains
+    of any hash is at most one row in FREQUENT."""
+    twice = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    common = twice.orderBy(F.desc("n"), "h").limit(FREQUENT).select("h", F.lit(True).alias("common"))
+    told = found.join(F.broadcast(common), "h", "left")
+    dealt = told.select(*KEY, "place", "common", F.when(F.col("common"), F.xxhash64(*KEY, "place")).otherwise(F.col("h")).alias("d"))
+    return dealt.join(twice.select(F.col("h").alias("d"), F.lit(True).alias("again")), "d", "left").filter("common or again").select(*KEY, "place")
+
+
 def repeated_places(base: DataFrame, min_words: int = 20, start_words: int = 5) -> DataFrame:
     """k, t, places: starts of the windows of min_words words whose sequence also starts earlier, by document."""
     levels = [start_words]
@@ -165,8 +180,7 @@ def repeated_places(base: DataFrame, min_words: int = 20, start_words: int = 5)
     given, previous = base, None
     for level in levels[:-1]:
         found = W.mapped(given, _candidates(level, previous, min_words), "k bigint, t int, place int, h bigint")
-        twice = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-        alive = found.join(twice, "h", "left_semi").groupBy(*KEY).agg(F.collect_set("place").alias("places"))
+        alive = _repeated(found).groupBy(*KEY).agg(F.collect_set("place").alias("places"))
         given, previous = base.join(alive, KEY), level
     found = W.mapped(given, _long_windows(previous, min_words), "k bigint, t int, place int, h bigint, g bigint, known array<int>", most=8 << 20)
     least = F.min(F.struct(*KEY, "place")).over(Window.partitionBy("h", "g"))
