@@ -24,8 +24,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group of near copies; of rows that repeat it, one."""
-    groups = simhash.near_duplicates(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(groups, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID))
+    kept = simhash.near_duplicates(docs).filter("doc_id <=> component_id").select(key.alias("_kept")).distinct()
+    # joined and made distinct by one key, so that texts have one exchange for both
+    return docs.withColumn("_kept", key).join(kept, "_kept", "left_semi").dropDuplicates(["_kept"]).drop("_kept")
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
