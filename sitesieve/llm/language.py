@@ -218,8 +218,8 @@ def fit(texts: list[str], langs: list[str], piece: int = 40, rounds: int = 4, ra
 class Tagger:
     """A model at work: emissions of the words seen are kept (emptied when they are `most`)."""
 
-    def __init__(self, model: Model, most: int = 2_000_000) -> None:
-        self.model, self.most = model, most
+    def __init__(self, model: Model, most: int = 2_000_000, block: int = 1 << 15) -> None:
+        self.model, self.most, self.block = model, most, block
         self.clear()
 
     def clear(self) -> None:
@@ -232,8 +232,8 @@ class Tagger:
         place = np.minimum(np.searchsorted(self.known, kinds), max(0, len(self.known) - 1))
         new = first if not len(self.known) else first[self.known[place] != kinds]
         if len(new):
-            f = features(w.buf, w.start[new], w.end[new], h[new])
-            e = emissions(f, self.model.weights, lettered[new]).astype(np.float32)
+            blocks = np.split(new, range(self.block, len(new), self.block))  # a word has some twenty features
+            e = np.concatenate([emissions(features(w.buf, w.start[x], w.end[x], h[x]), self.model.weights, lettered[x]).astype(np.float32) for x in blocks])
             known = np.concatenate([self.known, h[new]])
             by = np.argsort(known)
             self.known, self.kept = known[by], np.concatenate([self.kept, e])[by]
@@ -283,7 +283,7 @@ def _run(docs: DataFrame, model: Model, f, schema) -> DataFrame:
             for part in W.slices(batch, most=2 << 20):
                 yield f(part, *tagger.judged(part.column("text"), part.column("_letter_of_text")))
 
-    return docs.withColumn("_letter_of_text", has_letter("text")).mapInArrow(run, schema)
+    return docs.withColumn("_letter_of_text", has_letter("text")).mapInArrow(W.released(run), schema)
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:

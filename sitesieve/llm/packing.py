@@ -197,7 +197,7 @@ def packed(docs: DataFrame, tokenizer_path: str, most: int = 1024, end_id: int =
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    out = W.mapped(given, run, PIECES + (", ids array<int>" if with_ids else ""), most=8 << 20)
+    out = W.mapped(given, run, PIECES + (", ids array<int>" if with_ids else ""), most=4 << 20)
     shown = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket"]
     return out.withColumn("sequence_id", F.monotonically_increasing_id()).select(*shown, *(["ids"] if with_ids else []))
 

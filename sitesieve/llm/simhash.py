@@ -119,7 +119,7 @@ def links(prints: DataFrame, radius: int = 3, tile: int = TILE) -> DataFrame:
     right = tiles.select(F.col("x").alias("y"), F.col("sub").alias("sub2"), F.col("hi").alias("hi2"), F.col("lo").alias("lo2"))
     pairs = left.join(right, ["hi2", "lo2"]).filter(F.struct("hi", "lo", "sub") <= F.struct(F.col("hi2").alias("hi"), F.col("lo2").alias("lo"), F.col("sub2").alias("sub")))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.select("x", "y").repartition(4 * width, F.xxhash64(F.element_at("x", 1), F.element_at("y", 1))).mapInArrow(_compared(radius), "a bigint, b bigint")
+    return pairs.select("x", "y").repartition(4 * width, F.xxhash64(F.element_at("x", 1), F.element_at("y", 1))).mapInArrow(W.released(_compared(radius)), "a bigint, b bigint")
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:

@@ -7,6 +7,7 @@ for a word. Null texts are empty texts.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -148,6 +149,24 @@ def inside(words: Words, length: int) -> np.ndarray:
     return words.row[:n] == words.row[length - 1 :] if n > 0 else np.zeros(0, bool)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker outlives its task, and its next task may be another operator's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(run: Callable) -> Callable:
+    """run, a function over the batches of a task, with give_back() at the end of the task."""
+
+    def whole(batches):
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def mapped(df, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, most: int = 4 << 20, column: str = "text"):
     """f over slices of all batches, by mapInArrow."""
 
@@ -158,4 +177,4 @@ def mapped(df, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
                 if out is not None:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
