@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitesieve.functions import dates, html, text, urls
+from sitesieve.functions import dates, html, robots, text, urls
 from sitesieve.operators import relational as R
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -415,3 +415,23 @@ def funnel_report(read):
     opened, large = F.col("o_orderstatus") == "O", F.col("o_totalprice") > 100000
     one = read("orders").agg(F.count("*").alias("all"), F.count_if(opened).alias("open"), F.count_if(opened & large).alias("large"), F.count_distinct(F.when(opened & large, F.col("o_custkey"))).alias("one_each"))
     return one.unpivot([], ["all", "open", "large", "one_each"], "step", "n")
+
+
+ROBOTS = "User-agent: *\nDisallow: /\n\nUser-agent: SieveBot/1.0\nUser-agent: other\nDisallow: /fr/ # French\nAllow: /fr/2\n\nUser-agent: sievebot\nDisallow: /*/7*$\n"
+
+
+@query(f"""with p as (select page_id, {HOST} as host, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)', 1) as rest from pages), q as (select page_id, host, case when rest like '/%' then rest else '/' || rest end as p from p)
+select page_id, case when host like 'm.%' then true when p like '/%/7%' then false when p like '/fr/2%' then true when p like '/fr/%' then false else true end as allowed,
+case when host like 'm.%' then null when p like '/%/7%' then '/*/7*$' when p like '/fr/2%' then '/fr/2' when p like '/fr/%' then '/fr/' end as rule from q""")
+def robots_verdicts(read):
+    pages = read("pages").select("page_id", urls.host(F.col("url")).alias("base"), robots.path(F.col("url")).alias("p"))
+    files = pages.select("base").distinct().filter(~F.col("base").startswith("m.")).withColumn("text", F.lit(ROBOTS))
+    judged = pages.join(robots.rules(files, "sievebot"), "base", "left").withColumn("v", robots.verdict(F.col("rules"), F.col("p")))
+    return judged.select("page_id", "v.allowed", "v.rule")
+
+
+@query("""select event_id, case when user_id % 7 = 0 then 'closed' when user_id % 7 = 1 then 'open' when user_id % 7 = 2 then 'rules' when user_id % 7 = 3 then 'open' else 'closed' end as state from events""")
+def robots_states(read):
+    k = F.col("user_id") % 7
+    status = F.when(k == 0, 503).when(k == 1, 404).when(k.isin(2, 3), 200).when(k == 4, 429).when(k == 5, 301)
+    return read("events").select("event_id", robots.state(status, F.when(k == 2, F.lit(ROBOTS)).otherwise(F.lit("<html>"))).alias("state"))
