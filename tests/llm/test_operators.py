@@ -294,3 +294,22 @@ def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
     assert given.groupBy("doc_id").count().filter("count > 1").count() == 0
     tokens = c.run(spark, str(tmp_path)).groupBy("doc_id").agg(F.sum("length").alias("a"), F.first("doc_tokens").alias("b"))
     assert tokens.filter("a <> b").count() == 0
+
+
+def test_pipeline_near_dedup_keeps_one_of_each_group(spark, docs):
+    import corpus_pipeline as c
+
+    body = " ".join(f"w{i}" for i in range(3000))
+    rows = [(7, body, 1), (5, body, 2), (9, body + " more", 3), (5, body, 4), (None, "alone, without an id", 5), (None, "alone, without an id", 6), (11, "quite another text of few words", 7), (12, None, 8), (13, "", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _score int")
+    kept = c.near_dedup(spark, df, "")
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == [-1, 5, 11, 12]
+    assert c.near_dedup(spark, df.limit(0), "").count() == 0
+
+
+def test_memory_is_given_back_after_the_last_batch():
+    from sitesieve.llm import words
+
+    assert list(words.released(lambda batches: (x + 1 for x in batches))(iter([1, 2]))) == [2, 3]
+    words.give_back()
