@@ -23,11 +23,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies; of rows that repeat it, one."""
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID))
-    kept = simhash.near_duplicates(docs).filter("doc_id <=> component_id").select(key.alias("_kept")).distinct()
+    """The document with the smallest doc_id of each group of near copies (null ids come first; texts under one id are
+    documents of their own); of rows that repeat its id and text, one."""
+    key = ["_k", "_t"]
     # joined and made distinct by one key, so that texts have one exchange for both
-    return docs.withColumn("_kept", key).join(kept, "_kept", "left_semi").dropDuplicates(["_kept"]).drop("_kept")
+    return simhash.keyed(docs).join(simhash.representatives(docs), key, "left_semi").dropDuplicates(key).drop(*key)
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

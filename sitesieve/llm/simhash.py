@@ -54,7 +54,8 @@ def _fingerprints(shingle: int, seed: int):
             for bit in range(64):
                 ones = np.add.reduceat(((h >> np.uint64(bit)) & np.uint64(1)).astype(np.int32), starts)
                 out[full] |= (2 * ones > n[full]).astype(np.uint64) << np.uint64(bit)
-        return pa.RecordBatch.from_arrays([part.column("k"), pa.array(out.view(np.int64))], names=["k", "f"])
+        rest = [c for c in part.schema.names if c != "text"]
+        return pa.RecordBatch.from_arrays([*map(part.column, rest), pa.array(out.view(np.int64))], names=[*rest, "f"])
 
     return run
 
@@ -142,6 +143,20 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with _k and _t, a document's identity: its id (NO_ID for null) and a hash of its text."""
+    return docs.withColumns({"_k": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)), "_t": F.xxhash64("text")})
+
+
+def representatives(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: int = 3) -> DataFrame:
+    """_k, _t: the least document of each component, by id and then by the hash of its text."""
+    prints = W.mapped(keyed(docs).select("_k", "_t", "text"), _fingerprints(shingle, seed), "_k bigint, _t bigint, f bigint")
+    distinct = shared.cut(prints.groupBy("f").agg(F.min(F.struct("_k", "_t")).alias("least")))
+    roots = components(links(distinct.select("f"), radius))
+    placed = distinct.join(roots, F.col("f") == F.col("node"), "left").select("least", F.coalesce("root", "f").alias("root"))
+    return placed.groupBy("root").agg(F.min("least").alias("least")).select("least.*")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id reachable by links)."""
     prints = shared.cut(fingerprints(docs, shingle, seed))

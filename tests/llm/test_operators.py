@@ -313,3 +313,12 @@ def test_memory_is_given_back_after_the_last_batch():
 
     assert list(words.released(lambda batches: (x + 1 for x in batches))(iter([1, 2]))) == [2, 3]
     words.give_back()
+
+
+def test_pipeline_near_dedup_keeps_null_ids_and_texts_of_one_id(spark):
+    import corpus_pipeline as c
+
+    text = [" ".join(f"{x}{i}" for i in range(300)) for x in "abcdef"]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (None, text[2]), (4, text[2]), (8, text[3]), (8, text[4]), (3, text[4]), (9, text[3]), (8, text[3]), (10, text[5])]
+    kept = c.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert multiset(kept) == collections.Counter([(None, text[0]), (None, text[1]), (None, text[2]), (8, text[3]), (3, text[4]), (10, text[5])])
