@@ -268,8 +268,10 @@ class Tagger:
 def trained(docs: DataFrame, train_docs: int = 400) -> Model:
     """A model from folds 1 to 4 of the documents with a lang and a letter."""
     usable = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & (shared.fold_of("doc_id") != 0) & has_letter("text"))
-    least = usable.select("doc_id", F.xxhash64("doc_id", F.lit(11)).alias("o"), "lang").filter("doc_id is not null").orderBy("o", "doc_id").limit(train_docs).select("doc_id").distinct()
-    rows = usable.join(F.broadcast(least), "doc_id").select("doc_id", "lang", "text").collect()  # train_docs ids: a fixed bound
+    usable = usable.filter("doc_id is not null").withColumn("o", F.xxhash64("doc_id", "text", F.lit(11)))
+    key = ["o", "doc_id"]
+    least = usable.select(*key).distinct().orderBy(*key).limit(train_docs)
+    rows = usable.join(F.broadcast(least), key).groupBy(*key).agg(F.min(F.struct("lang", "text")).alias("x")).select("doc_id", "x.*").collect()  # train_docs rows at most
     rows.sort(key=lambda r: (r.doc_id, r.lang, r.text))
     return fit([r.text for r in rows], [r.lang for r in rows])
 

@@ -322,3 +322,18 @@ def test_pipeline_near_dedup_keeps_null_ids_and_texts_of_one_id(spark):
     rows = [(None, text[0]), (None, text[1]), (None, text[1]), (None, text[2]), (4, text[2]), (8, text[3]), (8, text[4]), (3, text[4]), (9, text[3]), (8, text[3]), (10, text[5])]
     kept = c.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert multiset(kept) == collections.Counter([(None, text[0]), (None, text[1]), (None, text[2]), (8, text[3]), (3, text[4]), (10, text[5])])
+
+
+def test_language_learns_beside_a_repeated_id(spark):
+    en, de = "the house is on the hill and the sea", "der hund ist im garten und schläft"
+    hot = min((i for i in range(200) if zlib.crc32(str(i).encode()) % 5), key=lambda i: spark.range(1).select(F.xxhash64(F.lit(i).cast("bigint"), F.lit(11))).first()[0])
+    rows = [(hot, en, "en")] * 50 + [(hot, f"{en} {i}", "en") for i in range(50)] + [(i, f"{de} {i}", "de") for i in range(200, 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen, fit = [], language.fit
+    language.fit = lambda texts, langs: seen.append((texts, langs)) or fit(texts, langs)
+    try:
+        model = language.trained(df, train_docs=40)
+    finally:
+        language.fit = fit
+    texts, langs = seen[0]
+    assert model.langs == ["de", "en"] and len(texts) == len(set(texts)) == len(langs) == 40
