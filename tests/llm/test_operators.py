@@ -337,3 +337,15 @@ def test_language_learns_beside_a_repeated_id(spark):
         language.fit = fit
     texts, langs = seen[0]
     assert model.langs == ["de", "en"] and len(texts) == len(set(texts)) == len(langs) == 40
+
+
+def test_warc_decodes_all_references(spark):
+    import html
+
+    names = [f"&{x}" for x in html.entities.html5] + ["&#8217;", "&#x2019;", "&#128;", "&#0;", "&#xD800;", "&amp;lt;", "&notit;", "&unknown;", "&;", "& x", "AT&T"]
+    text = "|".join(x for x in names if "\n" not in html.unescape(x))
+    page = f"<head><title>caf&eacute; &#8217;&#13;&#10;x: &amp;amp;</title></head><body><p>{text}</p><p>a&nbsp;b&#160;c &middot; d</p></body>"
+    df = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    got = {r.warc_type: r.block for r in warc.derived(warc.responses(df)).collect()}
+    assert got["conversion"] == html.unescape(text).replace("\xa0", " ") + "\na b c · d"
+    assert got["metadata"].startswith("title: café ’ x: &amp;\r\nlanguage: ")
