@@ -1,10 +1,11 @@
-"""Exact top-k inner products by Fagin's threshold algorithm.
+"""Exact top-k inner products: a full product, walked by sorted lists as in Fagin's threshold algorithm.
 
 Candidates are cut into blocks and queries into blocks; each pair of blocks meets once. A block keeps one list per
-dimension, sorted by its component. A query reads all lists from their better end in rounds of doubled depth, scores
-each candidate at its first sight in full, and stops once the bound (the best score that a candidate not yet seen
+dimension, sorted by its component. A query reads all lists from their better end in rounds of doubled depth, takes in
+each candidate at its first sight, and stops once the bound (the best score that a candidate not yet seen
 could have, from the components last read) is below its k-th score; at equality it goes on, for ties count. It also
-stops when few of the block's candidates are left unseen, and scores these. The
+stops when few of the block's candidates are left unseen, and takes these in. All scores come from a full matrix
+product beforehand, so the bound saves no scoring. The
 k best of each block are merged by rank.
 
 Defined cases: vectors that are null, empty or hold a null or non-finite component take no part, nor do rows with a
