@@ -1,4 +1,4 @@
-"""HTML by patterns, as Column expressions; for span tables see sitesieve.operators.pages."""
+"""HTML by patterns, as Column expressions."""
 
 from __future__ import annotations
 
