@@ -1,8 +1,9 @@
 """Vectorised word splitting and hashing over the buffers of Arrow string arrays.
 
 Every Python operator of this folder reads whole texts through here: a slice of a batch becomes one byte
-buffer, its words become start and end offsets, and hashes come from prefix sums, so that no Python object is made
-for a word. Null texts are empty texts.
+buffer, its words become start and end offsets, and words of one length are hashed together, so that no Python object
+is made for a word (but for words of more than 256 bytes). Null texts are empty texts. A text longer than a slice is a
+slice of its own: a slice's arrays take up to some 60 times its bytes, so a text of 20 MB needs about a gigabyte.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U = np.uint64
 #: Bytes that separate words: 0x20 and 0x09-0x0D. Everything else is a word byte.
@@ -25,9 +27,6 @@ PLAIN[0x30:0x3A] = PLAIN[0x61:0x7B] = PLAIN[0x80:] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
 
 class Words(NamedTuple):
     """Words of a slice: byte buffer, start and end of each word, its row, and the first word of each row (one more)."""
@@ -83,20 +82,6 @@ def split(texts: pa.Array, word_bytes: np.ndarray = SPACED, lower: bool = False)
     return Words(buf, start, end, np.repeat(np.arange(len(texts)), np.diff(first)), first)
 
 
-def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2**64 and of its inverse."""
-    have = _tables.get(which)
-    if have is None or len(have[0]) < n:
-        size = 1 << max(19, int(n).bit_length())
-        out = []
-        for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
-            table = np.full(size, base, U)
-            table[0] = 1
-            out.append(np.multiply.accumulate(table))
-        have = _tables[which] = tuple(out)
-    return have
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64 bits."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -104,24 +89,78 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def hashes(words: Words, which: int = 0, reach: int = 1 << 18) -> np.ndarray:
-    """A 64-bit hash of each word's bytes; two values of `which` give independent hashes.
-
-    Prefix sums run over stretches of `reach` bytes (or one longer word), which bounds the tables of powers."""
-    out, n, i = np.empty(len(words.start), U), len(words.start), 0
-    while i < n:
-        begin = int(words.start[i])
-        j = max(i + 1, int(np.searchsorted(words.end, begin + reach, "right")))
-        stop = int(words.end[j - 1])
-        power, inverse = _powers(stop - begin + 1, which)
-        sums = np.zeros(stop - begin + 1, U)
-        np.cumsum((words.buf[begin:stop].astype(U) + U(1)) * power[: stop - begin], out=sums[1:])
-        start = words.start[i:j] - begin
-        out[i:j] = mix((sums[words.end[i:j] - begin] - sums[start]) * inverse[start])
-        i = j
+# The five primes of XXH64.
+_P1, _P2, _P3, _P4, _P5 = (U(x) for x in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+#: Longer strings are hashed one by one.
+_LONG = 256
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << U(by)) | (x >> U(64 - by))
+
+
+def _round(acc, lane: np.ndarray) -> np.ndarray:
+    return _turned(acc + lane * _P2, 31) * _P1
+
+
+def xxh64(buf: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """XXH64 of each string buf[start:end]; strings of one length are hashed together, lane by lane."""
+    size = end - start
+    out = np.empty(len(start), U)
+    short = np.minimum(size, _LONG + 1).astype(np.uint16)
+    order = np.argsort(short, kind="stable")
+    sorted_ = short[order]
+    cuts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(order) else []
+    buf = np.ascontiguousarray(buf)
+    eights = np.ndarray((max(0, len(buf) - 7),), "<u8", buffer=buf, strides=(1,)) if len(buf) > 7 else None
+    fours = np.ndarray((max(0, len(buf) - 3),), "<u4", buffer=buf, strides=(1,)) if len(buf) > 3 else None
+    with np.errstate(over="ignore"):
+        for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
+            length = int(sorted_[a])
+            if length > _LONG:
+                view = memoryview(buf)
+                for i in order[a:b].tolist():
+                    out[i] = xxhash.xxh64_intdigest(view[int(start[i]) : int(end[i])], seed)
+                continue
+            for c in range(a, b, 1 << 16):  # runs that stay in the cache
+                which = order[c : min(b, c + (1 << 16))]
+                out[which] = _same_length(buf, eights, fours, start[which], length, U(seed))
     return out
 
 
+def _same_length(buf, eights, fours, at: np.ndarray, length: int, seed) -> np.ndarray:
+    place = 0
+    if length >= 32:
+        acc = [seed + _P1 + _P2, seed + _P2, seed, seed - _P1]
+        while place + 32 <= length:
+            for j in range(4):
+                acc[j] = _round(acc[j], eights[at + place])
+                place += 8
+        h = _turned(acc[0], 1) + _turned(acc[1], 7) + _turned(acc[2], 12) + _turned(acc[3], 18)
+        for x in acc:
+            h = (h ^ _round(U(0), x)) * _P1 + _P4
+        h = h + U(length)
+    else:
+        h = np.full(len(at), seed + _P5 + U(length))
+    while place + 8 <= length:
+        h = _turned(h ^ _round(U(0), eights[at + place]), 27) * _P1 + _P4
+        place += 8
+    if place + 4 <= length:
+        h = _turned(h ^ (fours[at + place].astype(U) * _P1), 23) * _P2 + _P3
+        place += 4
+    while place < length:
+        h = _turned(h ^ (buf[at + place].astype(U) * _P5), 11) * _P1
+        place += 1
+    h = (h ^ (h >> U(33))) * _P2
+    h = (h ^ (h >> U(29))) * _P3
+    return h ^ (h >> U(32))
+
+
+def hashes(words: Words, which: int = 0) -> np.ndarray:
+    """The XXH64 of each word's bytes; two values of `which` (the seed) give two hashes."""
+    return xxh64(words.buf, words.start, words.end, which)
+
+
 def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The hash of two neighbouring windows from the hashes of each; a may be longer than b."""
     n = min(len(a), len(b))
