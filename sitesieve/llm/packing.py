@@ -9,7 +9,8 @@ each distinct stretch is encoded once a worker. Documents in which the tokenizer
 encoded whole.
 
 Defined cases: null and empty texts have the end id alone (one piece of length 1); repeated rows are packed each; a
-null doc_id stays null; an empty table gives no rows; other columns are ignored.
+null doc_id stays null; an empty table gives no rows; very long texts are encoded whole, a slice each; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -69,7 +70,10 @@ def stretches(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Token ids of texts, keeping those of the distinct stretches seen (emptied when they are `most`)."""
+    """Token ids of texts, keeping those of the distinct stretches seen (emptied when they are `most`).
+
+    Stretches are looked up by hash and then compared byte by byte; one that differs from the stretch kept under its
+    hash is encoded by itself."""
 
     def __init__(self, path: str, most: int = 4_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -85,6 +89,7 @@ class Encoder:
 
     def clear(self) -> None:
         self.known, self.at, self.count, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.byte_at, self.byte_count, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
 
     def plain(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -115,6 +120,19 @@ class Encoder:
         by = np.argsort(known)
         self.known, self.at, self.count = known[by], np.concatenate([self.at, at])[by], np.concatenate([self.count, counts])[by]
         self.flat = np.concatenate([self.flat, flat])
+        sizes = (end - start)[order]
+        self.byte_at = np.concatenate([self.byte_at, np.cumsum(sizes) - sizes + len(self.bytes)])[by]
+        self.byte_count = np.concatenate([self.byte_count, sizes])[by]
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(parts), np.uint8)])
+
+    def _strangers(self, entry: np.ndarray, start: np.ndarray, end: np.ndarray, buf: np.ndarray) -> np.ndarray:
+        """Stretches that are not the ones kept under their hashes. The stretches follow one another without gaps."""
+        size = end - start
+        odd = self.byte_count[entry] != size
+        shift = np.where(odd, 0, self.byte_at[entry] - start)
+        differ = np.flatnonzero(self.bytes[np.where(np.repeat(odd, size), 0, np.arange(len(buf)) + np.repeat(shift, size))] != buf)
+        odd[np.searchsorted(end, differ, "right")] = True
+        return np.flatnonzero(odd)
 
     def encode(self, texts: pa.Array, end_id: int | None = 0) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and each text's first place (one more than texts); end_id follows each text."""
@@ -135,10 +153,12 @@ class Encoder:
                 missing = i
             self._learn(h[missing], start[missing], end[missing], buf)
         entry = np.searchsorted(self.known, h)
+        strangers = self._strangers(entry, start, end, buf) if len(h) else entry
         n = self.count[entry] if len(h) else np.zeros(0, np.int64)
         per_text = np.bincount(row, weights=n, minlength=len(texts)).astype(np.int64) if len(h) else np.zeros(len(texts), np.int64)
         which = np.repeat(np.arange(len(n)), n)
         ids = self.flat[self.at[entry][which] + (np.arange(len(which)) - (np.cumsum(n) - n)[which])] if len(h) else np.zeros(0, np.uint32)
+        special = np.union1d(special, row[strangers])  # texts with a stretch of another's hash are encoded whole
         if end_id is None and not len(special):
             return ids, np.concatenate([[0], np.cumsum(per_text)])
         pieces = np.split(ids, np.cumsum(per_text)[:-1]) if len(texts) else []
