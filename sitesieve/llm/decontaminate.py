@@ -5,13 +5,16 @@ array over it by prefix doubling, sorted to a depth of at least one window. Ever
 binary-searched in it: the range it meets gives all places of its first words, and matches are extended word by word
 into longest verbatim matches with their locations. A document never leaves its shard, so nothing is shuffled.
 
-Benchmark items are sent to workers in blocks of a bounded size (`block_bytes`), one pass over the documents a block;
-the usual benchmark is one block.
+Benchmark items go to workers in blocks of a bounded size (`block_bytes`; an item is never cut), which a task takes up
+one after another for each shard, so that neither driver nor worker holds more than one. The usual benchmark is a single
+block. Words are compared by two hashes (XXH64 with two seeds): the suffix array goes by one, and every window found and
+every word it is extended by is held against the other.
 
 Defined cases: null and empty texts (documents or items) have no words: no hits, and n_words 0; an item shorter than a
 window, but not empty, is one window; items that repeat an item_id count as one item; a null item_id counts as the
 text "null"; rows that repeat a doc_id are judged each by its own text; an empty benchmark hits nothing; an empty
-document table gives no rows; other columns are ignored.
+document table gives no rows; very long texts are read whole, a shard each; other columns are ignored, or kept where
+documents are filtered, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ class Items(NamedTuple):
     """Benchmark items as one array of word hashes: separators are 1 between items, where documents have 0."""
 
     h: np.ndarray
+    g: np.ndarray  # a second hash of each word
     item: np.ndarray
     left: np.ndarray  # words from here to the end of the item
     need: np.ndarray  # words of a window that starts here; 0: none does
@@ -54,8 +58,8 @@ def _items(rows: list, window: int) -> Items:
     need = np.where(left >= width, width, 0)
     at = np.arange(len(h)) + words.row
     size = len(h) + len(rows)
-    wide = [np.full(size, 1, np.uint64), *(np.zeros(size, np.int64) for _ in range(4))]
-    for out, values in zip(wide, (h, words.row, left, need, place), strict=True):
+    wide = [np.full(size, 1, np.uint64), np.full(size, 1, np.uint64), *(np.zeros(size, np.int64) for _ in range(4))]
+    for out, values in zip(wide, (h, W.hashes(words, 1), words.row, left, need, place), strict=True):
         out[at] = values
     return Items(*wide, ids)
 
@@ -132,15 +136,17 @@ def _ranges(h: np.ndarray, sa: np.ndarray, items: Items, start: np.ndarray) -> t
 class Shard(NamedTuple):
     words: W.Words
     h: np.ndarray
+    g: np.ndarray
     sa: np.ndarray
 
 
 def shard(texts: pa.Array, window: int) -> Shard:
     words = W.split(texts, W.PLAIN, lower=True)
-    h = np.zeros(len(words.start) + len(texts), np.uint64)
-    h[np.arange(len(words.start)) + words.row] = W.hashes(words)
+    h, g = (np.zeros(len(words.start) + len(texts), np.uint64) for _ in range(2))
+    for which, out in enumerate((h, g)):
+        out[np.arange(len(words.start)) + words.row] = W.hashes(words, which)
     depth = 1 << (window - 1).bit_length()
-    return Shard(words, h, suffix_array(h, depth))
+    return Shard(words, h, g, suffix_array(h, depth))
 
 
 def located(s: Shard, items: Items) -> tuple[np.ndarray, np.ndarray]:
@@ -152,7 +158,12 @@ def located(s: Shard, items: Items) -> tuple[np.ndarray, np.ndarray]:
     lo, hi = _ranges(s.h, s.sa, items, start)
     n = hi - lo
     which = np.repeat(np.arange(len(start)), n)
-    return s.sa[lo[which] + (np.arange(len(which)) - (np.cumsum(n) - n)[which])], start[which]
+    at, start = s.sa[lo[which] + (np.arange(len(which)) - (np.cumsum(n) - n)[which])], start[which]
+    true = np.ones(len(at), bool)
+    for j in range(int(items.need.max(initial=0))):
+        on = np.flatnonzero(items.need[start] > j)
+        true[on] &= s.g[at[on] + j] == items.g[start[on] + j]
+    return at[true], start[true]
 
 
 def longest(s: Shard, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,7 +178,7 @@ def longest(s: Shard, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         x, y = at[open_] + length[open_], start[open_] + length[open_]
         open_ = open_[(x < len(s.h)) & (y < len(items.h))]
         x, y = at[open_] + length[open_], start[open_] + length[open_]
-        open_ = open_[(s.h[x] == items.h[y]) & (s.h[x] > 1)]
+        open_ = open_[(s.h[x] == items.h[y]) & (s.g[x] == items.g[y]) & (s.h[x] > 1)]
         length[open_] += 1
     return at, start, length
 
@@ -179,28 +190,48 @@ def _places(s: Shard) -> tuple[np.ndarray, np.ndarray]:
     return row, np.arange(len(row)) - (np.cumsum(n) - n)[row]
 
 
+class Benchmark:
+    """The benchmark's blocks, each broadcast by itself. A worker loads one at a time and keeps the last."""
+
+    def __init__(self, benchmark: DataFrame, window: int, block_bytes: int) -> None:
+        context = benchmark.sparkSession.sparkContext
+        self.window = window
+        self.held = [context.broadcast(x) for x in blocks(benchmark, window, block_bytes)]  # block_bytes bounds each
+
+    def __iter__(self) -> Iterator[Items]:
+        for i, held in enumerate(self.held):
+            if _last.get("of") is not held:
+                _last.clear()
+                _last.update(of=held, items=held.value)
+                vars(held).pop("_value", None)  # or the worker would keep every block
+            yield _last["items"]
+            if i + 1 < len(self.held):
+                _last.clear()
+
+
+_last: dict = {}
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = 13, block_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, item_id, doc_start, item_start, length: longest verbatim matches of a window or more, with places."""
-    given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    out = None
-    for items in blocks(benchmark, window, block_bytes):
+    every = Benchmark(benchmark, window, block_bytes)
 
-        def run(part: pa.RecordBatch, items=items):
-            s = shard(part.column("text"), window)
+    def run(part: pa.RecordBatch):
+        s = shard(part.column("text"), window)
+        row, number = _places(s)
+        found = []
+        for items in every:
             at, start, length = longest(s, items)
-            if not len(at):
-                return None
-            row, number = _places(s)
             ids = part.column("doc_id").take(pa.array(row[at]))
-            return pa.RecordBatch.from_arrays([ids, pa.array([items.ids[i] for i in items.item[start]], pa.string()), pa.array(number[at]), pa.array(items.place[start]), pa.array(length)], names=["doc_id", "item_id", "doc_start", "item_start", "length"])
+            found.append(pa.RecordBatch.from_arrays([ids, pa.array([items.ids[i] for i in items.item[start]], pa.string()), pa.array(number[at]), pa.array(items.place[start]), pa.array(length)], names=[x.split()[0] for x in MATCHES.split(", ")]))
+        return pa.concat_batches(found) if found else None
 
-        found = W.mapped(given, run, MATCHES)
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else docs.sparkSession.createDataFrame([], MATCHES)
+    return W.mapped(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), run, MATCHES)
 
 
-def _judged(part: pa.RecordBatch, every: list[Items], window: int) -> tuple[Shard, np.ndarray, list[set[str]]]:
-    s = shard(part.column("text"), window)
+def _judged(part: pa.RecordBatch, every: Benchmark) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
+    """Per row: words, words inside matches, and the items met."""
+    s = shard(part.column("text"), every.window)
     row, _ = _places(s)
     hit = np.zeros(len(s.h) + 1, np.int64)
     names: list[set[str]] = [set() for _ in range(part.num_rows)]
@@ -212,75 +243,31 @@ def _judged(part: pa.RecordBatch, every: list[Items], window: int) -> tuple[Shar
         for r, i in zip(*pairs.tolist(), strict=True):
             names[r].add(items.ids[i])
     covered = np.cumsum(hit[:-1]) > 0
-    return s, np.bincount(row[covered], minlength=part.num_rows), names
-
+    return np.diff(s.words.first), np.bincount(row[covered], minlength=part.num_rows), names
 
-def judged(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20, block_bytes: int = 32 << 20, keep_rows: bool = False) -> DataFrame:
-    """A row per document: words, words inside matches, items met, and whether at least one word in one_in is hit.
 
-    keep_rows: the clean documents instead, with all their columns."""
-    every = list(blocks(benchmark, window, block_bytes))
-    if len(every) > 1:  # over the bound of one block: pass by pass
-        return _by_passes(docs, every, window, one_in, keep_rows)
+def judged(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20, block_bytes: int = 32 << 20) -> DataFrame:
+    """A row per document: words, words inside matches, items met, and whether at least one word in one_in is hit."""
+    every = Benchmark(benchmark, window, block_bytes)
 
     def run(part: pa.RecordBatch):
-        s, hit, names = _judged(part, every, window)
-        n = np.diff(s.words.first)
+        n, hit, names = _judged(part, every)
         bad = (hit > 0) & (one_in * hit >= n)
-        if keep_rows:
-            return part.filter(pa.array(~bad))
         digest = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in names]
         return pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n), pa.array(hit), pa.array([len(x) for x in names], pa.int64()), pa.array(digest, pa.string()), pa.array(bad)], names=[x.split()[0] for x in RESULT.split(", ")])
 
-    if keep_rows:
-        return W.mapped(docs, run, docs.schema)
     return W.mapped(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), run, RESULT)
 
 
-def _by_passes(docs: DataFrame, every: list[Items], window: int, one_in: int, keep_rows: bool) -> DataFrame:
-    """The same over several blocks of items: each pass adds the places it hits to a list column of its rows."""
-    spark = docs.sparkSession
-    own = docs.columns
-    wide = docs.withColumns({"_hits": F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)"), "_items": F.expr("cast(array() as array<string>)")})
-    schema = wide.schema
-    for items in every:
-        shared_items = spark.sparkContext.broadcast(items)  # one block: its size is bounded by block_bytes
-
-        def add(part: pa.RecordBatch, held=shared_items):
-            s = shard(part.column("text"), window)
-            at, start, length = longest(s, held.value)
-            row, number = _places(s)
-            hits, names = part.column("_hits").to_pylist(), part.column("_items").to_pylist()
-            for r, p, n, i in zip(row[at].tolist(), number[at].tolist(), length.tolist(), held.value.item[start].tolist(), strict=True):
-                hits[r].append({"a": p, "b": p + n})
-                names[r].append(held.value.ids[i])
-            return part.set_column(part.schema.get_field_index("_hits"), "_hits", pa.array(hits, part.column("_hits").type)).set_column(part.schema.get_field_index("_items"), "_items", pa.array(names, part.column("_items").type))
-
-        wide = W.mapped(wide, add, schema)
-
-    def close(part: pa.RecordBatch):
-        words = W.split(part.column("text"), W.PLAIN, lower=True)
-        n = np.diff(words.first)
-        hit = np.zeros(part.num_rows, np.int64)
-        for r, spans in enumerate(part.column("_hits").to_pylist()):
-            change = np.zeros(int(n[r]) + 1, np.int64)
-            for x in spans:
-                change[x["a"]] += 1
-                change[x["b"]] -= 1
-            hit[r] = np.count_nonzero(np.cumsum(change[:-1]))
-        bad = (hit > 0) & (one_in * hit >= n)
-        if keep_rows:
-            return part.select(own).filter(pa.array(~bad))
-        names = [sorted(set(x)) for x in part.column("_items").to_pylist()]
-        digest = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in names]
-        return pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(n), pa.array(hit), pa.array([len(x) for x in names], pa.int64()), pa.array(digest, pa.string()), pa.array(bad)], names=[x.split()[0] for x in RESULT.split(", ")])
-
-    return W.mapped(wide, close, docs.schema if keep_rows else RESULT)
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20, block_bytes: int = 32 << 20) -> DataFrame:
+    """docs without the contaminated ones, with all their columns."""
+    every = Benchmark(benchmark, window, block_bytes)
 
+    def run(part: pa.RecordBatch):
+        n, hit, _ = _judged(part, every)
+        return part.filter(pa.array((hit == 0) | (one_in * hit < n)))
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_in: int = 20) -> DataFrame:
-    """docs without the contaminated ones."""
-    return judged(docs, benchmark, window, one_in, keep_rows=True)
+    return W.mapped(docs, run, docs.schema)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
