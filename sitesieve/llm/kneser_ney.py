@@ -9,17 +9,22 @@ score texts by binary search: nothing of the model goes through the driver but i
 
 The files stand in the shared folder of spark.checkpoint.dir (or `model_dir`), which must be mounted at the executors:
 memory-mapping needs a file system path. Each is written under another name first and then renamed, so tasks can be
-run again.
+run again. Every bucket has its files, be they empty: one that a worker does not find is an error, never "no counts".
+A worker holds at most OPEN files mapped and lets go of the one used longest ago.
 
 Defined cases: null and empty texts are the end token alone; with no training text all counts are 0, the base score is
 0 for each token and the model is uniform over one word; a null doc_id counts as the empty text for the fold; repeated
-rows count and are scored each; an empty table gives no rows; other columns are ignored.
+rows count and are scored each; an empty table gives no rows; very long texts are read whole, a slice each; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import mmap
 import os
+import sys
 import uuid
+from collections import OrderedDict
 from typing import NamedTuple
 from urllib.parse import urlparse
 
@@ -36,6 +41,8 @@ START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 HOT = 1 / 1000
 #: Bytes of training text per bucket, on average.
 BUCKET_BYTES = 16 << 20
+#: Files mapped at once by a worker: where a map needs no descriptor of its own, far more.
+OPEN = 8192 if sys.version_info >= (3, 13) else 256
 
 
 class Sequences(NamedTuple):
@@ -103,6 +110,14 @@ def _summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return k[first], order[first], *(np.add.reduceat(v[order], first) if len(k) else v[:0] for v in values)
 
 
+def _spans(values: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of equal values."""
+    if not len(values):
+        return []
+    cuts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1], [True]])).tolist()
+    return list(zip(cuts, cuts[1:], strict=False))
+
+
 def frequent(docs: DataFrame) -> tuple[int, np.ndarray]:
     """Bytes of all texts, and the hashes of hot contexts. A hot one is hot by half in some slice at least."""
 
@@ -122,13 +137,21 @@ def frequent(docs: DataFrame) -> tuple[int, np.ndarray]:
     return int(total[1]), np.sort(hot["h"].to_numpy().view(np.uint64))
 
 
-def _write(path: str, *arrays: np.ndarray) -> None:
-    for i, x in enumerate(arrays):
-        part = f"{path}-{i}.npy"
-        temporary = f"{part}.{uuid.uuid4().hex}"
-        with open(temporary, "wb") as f:
-            np.save(f, x)
-        os.replace(temporary, part)
+def _write(path: str, key: np.ndarray, values: np.ndarray) -> None:
+    """A file of keys and their values: the number of keys, the width of a value in bytes, the keys, the values."""
+    temporary = f"{path}.{uuid.uuid4().hex}"
+    with open(temporary, "wb") as f:
+        f.write(np.array([len(key), values.itemsize], "<u8").tobytes())
+        f.write(np.ascontiguousarray(key, "<u8"))
+        f.write(np.ascontiguousarray(values))
+    os.replace(temporary, path)
+
+
+def _mapped(path: str) -> tuple[np.ndarray, np.ndarray]:
+    with open(path, "rb") as f:
+        data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, **({"trackfd": False} if sys.version_info >= (3, 13) else {}))
+    n, width = np.frombuffer(data, "<u8", 2).tolist()
+    return np.frombuffer(data, "<u8", n, 16), np.frombuffer(data, f"<u{width}", -1, 16 + 8 * n)
 
 
 def _pairs_of_slices(hot: np.ndarray, buckets: int):
@@ -139,9 +162,8 @@ def _pairs_of_slices(hot: np.ndarray, buckets: int):
         bucket = placed(context, key, hot, buckets)
         order = np.lexsort((context, bucket))
         context, token, n, bucket = context[order], token[order], n[order].astype(np.uint32), bucket[order]
-        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-        rows = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts]), *(pa.array([f(v[a:b]) for a, b in rows], pa.binary()) for f, v in ((_sorted, context), (planes, token), (planes, n)))], names=["bucket", "c", "t", "n"])
+        rows = _spans(bucket)
+        return pa.RecordBatch.from_arrays([pa.array(bucket[[a for a, _ in rows]].astype(np.int32)), *(pa.array([f(v[a:b]) for a, b in rows], pa.binary()) for f, v in ((_sorted, context), (planes, token), (planes, n)))], names=["bucket", "c", "t", "n"])
 
     return run
 
@@ -161,7 +183,7 @@ def _pairs_of_bucket(folder: str, hot: np.ndarray, buckets: int):
         bucket = given["bucket"][0].as_py()
         context = np.concatenate([_unsorted(x) for x in given["c"].to_pylist()])
         token = np.concatenate([unplaned(x, np.uint64) for x in given["t"].to_pylist()])
-        n = np.concatenate([unplaned(x, np.uint32) for x in given["n"].to_pylist()]).astype(np.int64)
+        n = np.concatenate([unplaned(x, np.uint32) for x in given["n"].to_pylist()]).astype(np.int64)  # the bucket's own row is empty
         key, at, n = _summed(pair(context, token), n)
         context, token = context[at], token[at]
         _write(f"{folder}/pairs-{bucket:06d}", key, np.minimum(n, 0xFFFFFFFF).astype(np.uint32))
@@ -173,8 +195,8 @@ def _pairs_of_bucket(folder: str, hot: np.ndarray, buckets: int):
         rows += [("hot", bucket, None, None, None, *(int(x) for x in v[:3]), 0, int(v[3]), int(h)) for h, v in zip(who[spread].view(np.int64), np.stack([ones[spread], twos[spread], more[spread], total[spread]], axis=1), strict=True)]
         word, _, count, follows = _summed(token, n, np.ones(len(n), np.int64))
         to = ranged(word, buckets)
-        cuts = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
-        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(to)], strict=True):
+        rows.append(("words", bucket, b"", b"", b"", 0, 0, 0, 0, 0, 0))
+        for a, b in _spans(to):
             rows.append(("words", int(to[a]), _sorted(word[a:b]), planes(count[a:b]), planes(follows[a:b]), 0, 0, 0, 0, 0, 0))
         return pa.table({x: pa.array(v, t) for x, v, t in zip(_NAMES, zip(*rows, strict=True), _TYPES, strict=True)})
 
@@ -223,7 +245,10 @@ def model_folder(spark: SparkSession, model_dir: str | None = None) -> str:
     named = urlparse(model_dir or shared.checkpoint_dir(spark))
     if named.scheme not in ("", "file"):
         raise ValueError("the model is memory-mapped: give a model_dir that executors have mounted")
-    folder = f"{named.path.rstrip('/')}/kneser-ney-{uuid.uuid4().hex}"
+    if model_dir is None:
+        folder = urlparse(shared.folder(spark, "kneser-ney")).path  # goes when the program ends
+    else:
+        folder = f"{named.path.rstrip('/')}/kneser-ney-{uuid.uuid4().hex}"
     os.makedirs(folder)
     return folder
 
@@ -234,6 +259,8 @@ def trained(docs: DataFrame, model_dir: str | None = None, bucket_bytes: int = B
     size, hot = frequent(docs)
     buckets = max(1, -(-size // bucket_bytes))
     blobs = W.mapped(docs.select("text"), _pairs_of_slices(hot, buckets), "bucket int, c binary, t binary, n binary", most=32 << 20)
+    none = F.lit(b"")
+    blobs = blobs.unionByName(docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"), none.alias("c"), none.alias("t"), none.alias("n")))
     sums = shared.cut(blobs.groupBy("bucket").applyInArrow(_pairs_of_bucket(folder, hot, buckets), SUMS))
     classes = sums.filter("kind = 'classes'").agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)) for i in (1, 2, 3, 4)]).first()
     rows = sums.filter("kind = 'hot'").groupBy("h").agg(*[F.sum(c).alias(c) for c in ("total", "n1", "n2", "n3")]).collect()  # 1 / HOT at most
@@ -250,26 +277,27 @@ class Mapped:
     """A model's files, mapped into memory as they are asked for."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.files = model, {}
+        self.model, self.files = model, OrderedDict()
 
-    def file(self, kind: str, bucket: int) -> tuple[np.ndarray, np.ndarray] | None:
-        if (kind, bucket) not in self.files:
-            path = f"{self.model.folder}/{kind}-{bucket:06d}"
-            there = os.path.exists(f"{path}-1.npy")
-            self.files[kind, bucket] = tuple(np.load(f"{path}-{i}.npy", mmap_mode="r") for i in (0, 1)) if there else None
-        return self.files[kind, bucket]
+    def file(self, kind: str, bucket: int) -> tuple[np.ndarray, np.ndarray]:
+        key = (kind, bucket)
+        if key not in self.files:
+            if len(self.files) >= OPEN:
+                self.files.popitem(last=False)
+            self.files[key] = _mapped(f"{self.model.folder}/{kind}-{bucket:06d}")  # FileNotFoundError: not mounted, or lost
+        self.files.move_to_end(key)
+        return self.files[key]
 
     def find(self, kind: str, key: np.ndarray, bucket: np.ndarray, width: int) -> np.ndarray:
         """Rows of values for keys, zero where there are none. Keys come sorted within buckets, buckets in order."""
         out = np.zeros((len(key), width), np.int64)
-        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(key) else []
-        for a, b in zip(cuts, [*cuts[1:], len(key)], strict=True):
-            found = self.file(kind, int(bucket[a]))
-            if found is None or not len(found[0]):
+        for a, b in _spans(bucket):
+            keys, values = self.file(kind, int(bucket[a]))
+            if not len(keys):
                 continue
-            at = np.minimum(np.searchsorted(found[0], key[a:b]), len(found[0]) - 1)
-            hit = np.flatnonzero(found[0][at] == key[a:b])
-            out[a + hit] = found[1][at[hit]].reshape(len(hit), width)
+            at = np.minimum(np.searchsorted(keys, key[a:b]), len(keys) - 1)
+            hit = np.flatnonzero(keys[at] == key[a:b])
+            out[a + hit] = values.reshape(-1, width)[at[hit]]
         return out
 
     def sums(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
