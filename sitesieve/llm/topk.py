@@ -1,17 +1,16 @@
-"""Exact top-k inner products: a full product, walked by sorted lists as in Fagin's threshold algorithm.
+"""Exact top-k inner products by Fagin's threshold algorithm over sorted lists, in blocks.
 
-Candidates are cut into blocks and queries into blocks; each pair of blocks meets once. A block keeps one list per
-dimension, sorted by its component. A query reads all lists from their better end in rounds of doubled depth, takes in
-each candidate at its first sight, and stops once the bound (the best score that a candidate not yet seen
-could have, from the components last read) is below its k-th score; at equality it goes on, for ties count. It also
-stops when few of the block's candidates are left unseen, and takes these in. All scores come from a full matrix
-product beforehand, so the bound saves no scoring. The
-k best of each block are merged by rank.
+Candidates are cut into blocks. A block keeps one list per dimension, sorted by its component; lists are sorted once,
+and the queries stream past them. A query reads all lists from their better end in rounds of doubled depth, scores in
+full each candidate at its first sight, and stops once the bound (the best score that a candidate not yet seen could
+have, from the components last read) is below its k-th score; at equality it goes on, for ties count. Candidates that no
+list has shown are never scored. The k best of each block are merged by rank.
 
 Defined cases: vectors that are null, empty or hold a null or non-finite component take no part, nor do rows with a
-null id; a shorter vector counts as padded with zeros; rows that share a query's id are its own and no candidates;
-repeated candidate rows are candidates each; a repeated query is answered once, unless its vectors differ (then once
-each); fewer than k candidates are all returned; an empty table gives no rows; other columns are ignored.
+null id; a shorter vector counts as padded with zeros (a very long one pads all others of its block); rows that share a
+query's id are its own and no candidates; repeated candidate rows are candidates each; a repeated query is answered
+once, unless its vectors differ (then once each); fewer than k candidates are all returned; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,10 +26,7 @@ from sitesieve.llm import shared
 FOUND = "query_id bigint, query_key bigint, vec_id bigint, score bigint"
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    lists = column.combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.chunk(0) if lists.num_chunks else pa.array([], pa.list_(pa.int64()))
+def _matrix(lists: pa.ListArray) -> np.ndarray:
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     out = np.zeros((len(sizes), int(sizes.max(initial=0))), np.int64)
     rows = np.repeat(np.arange(len(sizes)), sizes)
@@ -39,84 +35,101 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 class Lists:
-    """A block of candidates with its list per dimension."""
+    """A block of candidates with its list per dimension. scored: how many inner products were made."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         by = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[by], vectors[by]
+        self.ids, self.vectors, self.scored = ids[by], vectors[by], 0
         self.wide = self.vectors.astype(np.float64)
         self.largest = np.abs(self.wide).max(axis=0, initial=0)
         self.order = np.argsort(self.vectors, axis=0, kind="stable").T.astype(np.int32)  # ascending, a row per dimension
         self.values = np.take_along_axis(self.vectors.T, self.order, axis=1).astype(np.float64)
 
-    def scores(self, queries: np.ndarray) -> np.ndarray:
-        """Inner products, a row per query; those of a batch are had at once, as a matrix product."""
-        wide = queries.astype(np.float64)
-        if (np.abs(wide) @ self.largest).max(initial=0) < 2.0**53:  # then doubles are exact
-            return (wide @ self.wide.T).astype(np.int64)
-        return queries @ self.vectors.T
-
-    def best(self, query_id: int, q: np.ndarray, of_all: np.ndarray, k: int, begin: int = 128) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best, ties to smaller ids. of_all: the query's row of scores()."""
-        n = len(self.ids)
+    def best(self, query_id: int, q: np.ndarray, k: int, begin: int = 16) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best, ties to smaller ids."""
+        n, d = len(self.ids), self.vectors.shape[1]
+        q, beyond = np.pad(q[:d], (0, max(0, d - len(q)))), q[d:]  # beyond: where all candidates are zero
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         wide = q.astype(np.float64)
+        exact = float(np.abs(wide) @ self.largest) < 2.0**53  # then doubles are exact
         unseen = np.ones(n, bool)
         unseen[np.searchsorted(self.ids, query_id) : np.searchsorted(self.ids, query_id, "right")] = False
-        rows, depth, read = np.zeros(0, np.int64), min(begin, n), 0
+        rows, scores, depth, read = np.zeros(0, np.int64), np.zeros(0, np.int64), min(max(begin, k), n), 0
+        if not len(up) + len(down):  # every score is 0: the lists say nothing
+            rows = np.flatnonzero(unseen)[:k]
+            return self.ids[rows], np.zeros(len(rows), np.int64)
         while True:
+            shown = np.concatenate([self.order[up, n - depth : n - read].ravel(), self.order[down, read:depth].ravel()])
             fresh = np.zeros(n, bool)
-            fresh[self.order[up, n - depth : n - read]] = True
-            fresh[self.order[down, read:depth]] = True
-            fresh &= unseen
-            unseen &= ~fresh
-            left = int(np.count_nonzero(unseen))
-            last = depth == n or left <= n // 16  # what the lists have not shown is cheaper to score than to look up
-            if last:
-                fresh |= unseen
-            rows = np.concatenate([rows, np.flatnonzero(fresh)])
-            rows = _top(rows, of_all, k)
-            if last:
+            fresh[shown] = True
+            fresh = np.flatnonzero(fresh & unseen)
+            unseen[fresh] = False
+            self.scored += len(fresh)
+            rows = np.concatenate([rows, fresh])
+            scores = np.concatenate([scores, (self.wide[fresh] @ wide).astype(np.int64) if exact else self.vectors[fresh] @ q])
+            rows, scores = _top(rows, scores, k)
+            if depth == n:
                 break
             bound = wide[up] @ self.values[up, n - depth] + wide[down] @ self.values[down, depth - 1]
-            if len(rows) == k and of_all[rows].min() > bound:
+            if len(rows) == k and scores.min() > bound:
                 break
             read, depth = depth, min(n, depth * 2)
-        return self.ids[rows], of_all[rows]
+        return self.ids[rows], scores
 
 
-def _top(rows: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+def _top(rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k best of rows by score, then by row (rows stand in the order of their ids)."""
     if len(rows) > 4 * k:
-        least = np.partition(scores[rows], len(rows) - k)[len(rows) - k]
-        rows = rows[scores[rows] >= least]
-    return rows[np.lexsort((rows, -scores[rows]))[:k]]
-
-
-def search(queries: DataFrame, candidates: DataFrame, k: int = 20, block: int = 4096) -> DataFrame:
+        good = scores >= np.partition(scores, len(rows) - k)[len(rows) - k]
+        rows, scores = rows[good], scores[good]
+    by = np.lexsort((rows, -scores))[:k]
+    return rows[by], scores[by]
+
+
+def _stacked(parts: list[np.ndarray]) -> np.ndarray:
+    d = max(x.shape[1] for x in parts)
+    return np.concatenate([np.pad(x, ((0, 0), (0, d - x.shape[1]))) for x in parts])
+
+
+def _met(k: int):
+    """For rows sorted by block, a block's candidates before its queries: the k best of the block for each query."""
+
+    def run(batches):
+        block, ids, vectors, lists = None, [], [], None
+        for batch in batches:
+            of, is_query, vec_id, key, v = (batch.column(c) for c in ("block", "is_query", "vec_id", "key", "v"))
+            of, is_query, vec_id, key = (x.to_numpy(zero_copy_only=False) for x in (of, is_query, vec_id, key))
+            cuts = [0, *(np.flatnonzero((of[1:] != of[:-1]) | (is_query[1:] != is_query[:-1])) + 1).tolist(), len(of)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b == a:
+                    continue
+                if of[a] != block:
+                    block, ids, vectors, lists = of[a], [], [], None
+                x = _matrix(v.slice(a, b - a))
+                if not is_query[a]:
+                    ids.append(vec_id[a:b]), vectors.append(x)
+                    continue
+                if not ids:
+                    continue
+                lists = lists or Lists(np.concatenate(ids), _stacked(vectors))
+                ids_of, scores_of, n = [], [], []
+                for i, q in zip(vec_id[a:b].tolist(), x, strict=True):
+                    found, scores = lists.best(i, q, k)
+                    ids_of.append(found), scores_of.append(scores), n.append(len(found))
+                yield pa.RecordBatch.from_arrays([pa.array(y) for y in (np.repeat(vec_id[a:b], n), np.repeat(key[a:b], n), np.concatenate(ids_of), np.concatenate(scores_of))], names=[y.split()[0] for y in FOUND.split(", ")])
+
+    return run
+
+
+def search(queries: DataFrame, candidates: DataFrame, k: int = 20, block: int = 8192) -> DataFrame:
     """query_id, rank, vec_id, score: for each query (vec_id, v) its k best candidates (vec_id, v), v array<bigint>."""
     queries = queries.withColumn("key", F.xxhash64("v")).dropDuplicates(["vec_id", "key"])
-    n_candidates, n_queries = candidates.count(), queries.count()
-    across, down = max(1, -(-n_candidates // block)), max(1, -(-n_queries // block))
-    left = candidates.withColumn("cb", F.pmod(F.xxhash64("vec_id", "v", F.monotonically_increasing_id()), F.lit(across)).cast("int")).select("cb", F.explode(F.sequence(F.lit(0), F.lit(down - 1))).alias("qb"), "vec_id", "v")
-    right = queries.withColumn("qb", F.pmod(F.xxhash64("vec_id", "key"), F.lit(down)).cast("int")).select(F.explode(F.sequence(F.lit(0), F.lit(across - 1))).alias("cb"), "qb", "vec_id", "v", "key")
-
-    def meet(c: pa.Table, q: pa.Table) -> pa.Table:
-        out = [[np.zeros(0, np.int64)] for _ in range(4)]
-        if c.num_rows and q.num_rows:
-            x, y = _matrix(c["v"]), _matrix(q["v"])
-            d = max(x.shape[1], y.shape[1])
-            x, y = (np.pad(m, ((0, 0), (0, d - m.shape[1]))) for m in (x, y))
-            lists = Lists(c["vec_id"].to_numpy(), x)
-            for j, (i, key) in enumerate(zip(q["vec_id"].to_pylist(), q["key"].to_pylist(), strict=True)):
-                if j % 256 == 0:
-                    of_all = lists.scores(y[j : j + 256])
-                ids, scores = lists.best(i, y[j], of_all[j % 256], k)
-                for o, value in zip(out, (np.full(len(ids), i), np.full(len(ids), key), ids, scores), strict=True):
-                    o.append(value)
-        return pa.table([pa.array(np.concatenate(o).astype(np.int64)) for o in out], names=["query_id", "query_key", "vec_id", "score"])
-
-    found = left.groupBy("cb", "qb").cogroup(right.groupBy("cb", "qb")).applyInArrow(meet, FOUND)
+    n = max(1, -(-candidates.count() // block))
+    dealt = F.pmod(F.xxhash64("vec_id", "v", F.spark_partition_id(), F.monotonically_increasing_id()), F.lit(n))  # repeats are dealt too
+    left = candidates.select(dealt.cast("int").alias("block"), F.lit(False).alias("is_query"), "vec_id", F.lit(0).cast("bigint").alias("key"), "v")
+    right = queries.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"), F.lit(True).alias("is_query"), "vec_id", "key", "v")
+    both = left.unionByName(right).repartition(n, "block").sortWithinPartitions("block", "is_query")
+    found = both.mapInArrow(_met(k), FOUND)
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
