@@ -2,15 +2,16 @@
 
 All rolling word pairs of every text are joined, by hash and words, to the places of the templates' pairs. A pair met
 at word i of a text and place j of a template votes for the diagonal i - j of that template. A base phrase stands
-wherever one diagonal has the votes of all its pairs. For longer notices, whose copies lose or gain words,
-neighbouring diagonals of a template are merged, and a merged span is verified: enough of the template's pairs, in a
-span not much longer than the template.
+wherever one diagonal has the votes of all its pairs. For longer notices, whose copies lose or gain words, each diagonal
+is merged with the neighbours at most `drift` beyond it (and at most half the template's length), and the merged span is
+verified: enough of the template's pairs. The bound on the neighbours bounds the span, at 1.5 times the template, and
+votes elsewhere in a text can take nothing from a notice.
 
 The templates are the constants below, so the broadcast side of the join has a fixed size.
 
 Defined cases: null and empty texts have no words, no labels and score 0; rows that repeat doc_id and text are one
 document and get the same result each; rows with one doc_id and different texts are judged apart; a null doc_id stays
-null; an empty table gives no rows; other columns are ignored.
+null; an empty table gives no rows; very long texts are split whole, in one row's array; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def templates(spark: SparkSession, phrases: list[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(rows, "tid int, pairs int, label string, place int, v string, w string").withColumn("h", F.xxhash64("v", "w"))
 
 
-def scanned(docs: DataFrame, base: list[tuple[str, str]] = BASE, notices: list[tuple[str, str]] = NOTICES, enough: float = 0.8, drift: int = 3) -> DataFrame:
+def scanned(docs: DataFrame, base: list[tuple[str, str]] = BASE, notices: list[tuple[str, str]] = NOTICES, enough: float = 0.8, drift: int = 6) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     spark = docs.sparkSession
     k = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)).alias("k")
@@ -62,16 +63,15 @@ def scanned(docs: DataFrame, base: list[tuple[str, str]] = BASE, notices: list[t
     grams = pairs.select("k", "t", F.posexplode_outer("z").alias("i", "z")).select("k", "t", "i", F.col("z.v").alias("v"), F.col("z.w").alias("w"), F.xxhash64("z.v", "z.w").alias("h"))
     votes = grams.join(F.broadcast(templates(spark, base + notices)), ["h", "v", "w"])
     lines = votes.groupBy("k", "t", "tid", "pairs", "label", (F.col("i") - F.col("place")).alias("line")).agg(F.collect_set("place").alias("places"))
-    along = Window.partitionBy("k", "t", "tid").orderBy("line")
     is_base = F.col("tid") < len(base)
-    joins = ~is_base & (F.col("line") - F.lag("line").over(along) <= drift)  # base phrases stand on one diagonal
-    runs = lines.withColumn("new", F.when(joins, 0).otherwise(1)).withColumn("run", F.sum("new").over(along))
-    first, last = F.col("line") + F.array_min("places"), F.col("line") + F.array_max("places") + 1
-    merged = runs.groupBy("k", "t", "tid", "pairs", "label", "run").agg(F.min("line").cast("bigint").alias("line"), F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("met"), (F.max(last) - F.min(first)).alias("span"))
+    near = Window.partitionBy("k", "t", "tid").orderBy("line").rangeBetween(0, drift)
+    reach = F.when(is_base, 0).otherwise(F.least(F.lit(drift), F.floor((F.col("pairs") + 1) / 2)))  # base phrases stand on one diagonal
+    around = lines.withColumn("around", F.collect_list(F.struct("line", "places")).over(near))  # drift + 1 diagonals at most
+    merged = around.select("*", F.size(F.array_distinct(F.flatten(F.transform(F.filter("around", lambda x: x["line"] <= F.col("line") + reach), lambda x: x["places"])))).alias("met"))
     share = F.col("met") / F.col("pairs")
     exact = is_base & (F.col("met") == F.col("pairs"))
-    notice = ~is_base & (share >= enough) & (F.col("span") <= (F.col("pairs") + 1) * 1.5)
-    both = merged.filter(exact | notice).groupBy("k", "t").agg(F.count_if(exact).alias("n_base"), F.min(F.when(exact, F.col("line"))).alias("first_word"), F.max(F.when(exact, F.col("line"))).alias("last_word"), F.collect_set(F.when(exact, F.col("label"))).alias("based"), F.collect_set("label").alias("own"), F.max(F.when(notice, share)).alias("share"))
+    notice = ~is_base & (share >= enough)
+    both = merged.filter(exact | notice).groupBy("k", "t").agg(F.count_if(exact).alias("n_base"), F.min(F.when(exact, F.col("line").cast("bigint"))).alias("first_word"), F.max(F.when(exact, F.col("line").cast("bigint"))).alias("last_word"), F.collect_set(F.when(exact, F.col("label"))).alias("based"), F.collect_set("label").alias("own"), F.max(F.when(notice, share)).alias("share"))
     none = F.expr("cast(array() as array<string>)")
     text = lambda *c: F.array_join(F.array_sort(F.array_distinct(F.concat(*[F.coalesce(x, none) for x in c]))), ",")
     return given.select("k", "t", F.size("words").cast("bigint").alias("n_words")).join(both, ["k", "t"], "left").select(
