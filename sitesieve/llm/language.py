@@ -6,8 +6,10 @@ gives each word of a text, code-switched or not, a distribution over the languag
 the largest sum over its words, and its score the mean of that sum. Words without a letter have no features of their
 own and follow their neighbours.
 
-The model is fitted in the driver on at most `train_docs` labelled documents (those with the least hash), their whole
-texts; this bound is a parameter and the only sample taken. Fitting is stochastic gradient ascent on the conditional
+The model is fitted in the driver on at most `train_docs` labelled documents of at most `train_bytes` bytes, their whole
+texts; these bounds are parameters and the only sample taken. Languages are sampled in turn (the documents with the
+least hash of each), so that a rare one is learned too, as long as there are no more languages than `train_docs` and it
+has a document within `train_bytes`. Fitting is stochastic gradient ascent on the conditional
 likelihood of the label sequences, where a training sequence joins texts of different languages, so that switches are
 seen and their cost is learned.
 
@@ -15,8 +17,10 @@ Chains of a slice are run at once: each text starts afresh, which makes the slic
 products of transition matrices.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0; with no labelled rows every text is; rows
-with null lang teach nothing; a null doc_id counts as the empty text for the fold; ties go to the language that sorts
-first; repeated rows are judged each; an empty table gives no rows; other columns are ignored.
+with null lang or null doc_id teach nothing; a null doc_id counts as the empty text for the fold; ties go to the
+language that sorts first; repeated rows are judged each, and learned from once; an empty table gives no rows; very
+long texts are read whole, a slice each; other columns are ignored, or kept where documents are filtered, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sitesieve.llm import shared
@@ -265,46 +269,57 @@ class Tagger:
         return pa.array(pred, pa.string()), pa.array(np.where(judged, np.minimum(share, 1.0), 0.0))
 
 
-def trained(docs: DataFrame, train_docs: int = 400) -> Model:
+def trained(docs: DataFrame, train_docs: int = 400, train_bytes: int = 64 << 10) -> Model:
     """A model from folds 1 to 4 of the documents with a lang and a letter."""
-    usable = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).filter(F.col("lang").isNotNull() & (shared.fold_of("doc_id") != 0) & has_letter("text"))
-    usable = usable.filter("doc_id is not null").withColumn("o", F.xxhash64("doc_id", "text", F.lit(11)))
-    key = ["o", "doc_id"]
-    least = usable.select(*key).distinct().orderBy(*key).limit(train_docs)
-    rows = usable.join(F.broadcast(least), key).groupBy(*key).agg(F.min(F.struct("lang", "text")).alias("x")).select("doc_id", "x.*").collect()  # train_docs rows at most
+    usable = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).filter(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (shared.fold_of("doc_id") != 0) & (F.octet_length("text") <= train_bytes) & has_letter("text")
+    )
+    usable = usable.withColumn("o", F.xxhash64("doc_id", "text", F.lit(11)))
+    key = ["lang", "o", "doc_id"]
+    turns = Window.partitionBy("lang").orderBy("o", "doc_id")
+    each = usable.select(*key).withColumn("turn", F.dense_rank().over(turns)).filter(F.col("turn") <= train_docs)
+    least = each.distinct().orderBy("turn", "o", "lang", "doc_id").limit(train_docs).select(*key)
+    rows = usable.join(F.broadcast(least), key).groupBy(*key).agg(F.min("text").alias("text")).collect()  # train_docs rows of train_bytes at most
     rows.sort(key=lambda r: (r.doc_id, r.lang, r.text))
     return fit([r.text for r in rows], [r.lang for r in rows])
 
 
 def _run(docs: DataFrame, model: Model, f, schema) -> DataFrame:
-    """f over slices of docs, with the languages and scores of their texts; a tagger serves a whole partition."""
+    """f over slices of docs (text, letter and others), with the languages and scores of their texts; a tagger serves a
+    whole partition."""
 
     def run(batches):
         tagger = Tagger(model)
         for batch in batches:
             for part in W.slices(batch, most=2 << 20):
-                yield f(part, *tagger.judged(part.column("text"), part.column("_letter_of_text")))
+                yield f(part, *tagger.judged(part.column("text"), part.column("letter")))
 
-    return docs.withColumn("_letter_of_text", has_letter("text")).mapInArrow(W.released(run), schema)
+    return docs.mapInArrow(W.released(run), schema)
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score."""
-    given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", has_letter("text").alias("letter"))
     told = lambda part, pred, score: pa.RecordBatch.from_arrays([part.column("doc_id"), pred, score], names=["doc_id", "lang_pred", "score"])
     out = _run(given, model, told, "doc_id bigint, lang_pred string, score double")
     return out.select("doc_id", (shared.fold_of("doc_id") == 0).alias("held_out"), "lang_pred", "score")
 
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The documents whose language is known with a score of `least` or more, with all their columns."""
-    columns = docs.columns
+    """The documents whose language is known with a score of `least` or more, with all their columns. A model without
+    languages rejects none: documents with a letter stay."""
+    names = docs.columns
+    given = docs.select("text", has_letter("text").alias("letter"), *shared.rest_of(docs, "text"))
 
     def kept(part, pred, score):
-        keep = W.pc.and_(W.pc.not_equal(pred, "und"), W.pc.greater_equal(score, least))
-        return part.filter(keep).select(columns)
-
-    return _run(docs, model, kept, docs.schema)
+        keep = W.pc.and_(W.pc.not_equal(pred, "und"), W.pc.greater_equal(score, least)) if model.langs else part.column("letter")
+        part = part.filter(keep)
+        own = {"text": part.column("text")}
+        if "rest" in part.schema.names:
+            own |= {f.name: part.column("rest").field(i) for i, f in enumerate(part.column("rest").type)}
+        return pa.RecordBatch.from_arrays([own[c] for c in names], names=names)
+
+    return _run(given, model, kept, docs.schema)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
