@@ -8,14 +8,13 @@ Components come from alternating large-star and small-star steps over these edge
 
 Defined cases: null and empty texts have fingerprint zero, which links like any other; a text of fewer words than a
 shingle is one shingle; a null doc_id orders before all others (its component shows null); repeated rows give a row
-each; an empty table gives no rows; other columns are ignored.
+each; an empty table gives no rows; very long texts are read whole, a slice each; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +26,6 @@ TILE = 1 << 16
 
 
 def _fingerprints(shingle: int, seed: int):
-    digest = xxhash.xxh64_intdigest
-
     def run(part: pa.RecordBatch):
         words = W.split(part.column("text"), lower=True)
         size = words.end - words.start
@@ -39,14 +36,12 @@ def _fingerprints(shingle: int, seed: int):
         np.add.at(whole, words.end, -1)
         letters = np.flatnonzero(np.cumsum(whole[:-1]))
         joined[letters + np.repeat(begin[:-1] - words.start, size)] = words.buf[letters]
-        data = joined.tobytes()
         counts = np.diff(words.first)
         n = np.where(counts == 0, 0, np.maximum(counts - shingle + 1, 1))
         rows = np.repeat(np.arange(len(counts)), n)
         at = words.first[rows] + (np.arange(len(rows)) - (np.cumsum(n) - n)[rows])
         last = np.minimum(at + shingle, words.first[rows + 1]) - 1
-        ends = begin[last] + size[last]
-        h = np.fromiter((digest(data[a:b], seed) for a, b in zip(begin[at].tolist(), ends.tolist(), strict=True)), np.uint64, len(at))
+        h = W.xxh64(joined, begin[at], begin[last] + size[last], seed)
         out = np.zeros(len(counts), np.uint64)
         full = np.flatnonzero(n)
         if len(full):
@@ -114,18 +109,21 @@ def links(prints: DataFrame, radius: int = 3, tile: int = TILE) -> DataFrame:
     sizes = cells.groupBy("hi", "lo").agg(F.ceil(F.count("*") / tile).alias("parts"))  # 33 x 33 cells at most
     split = cells.join(F.broadcast(sizes), ["hi", "lo"]).withColumn("sub", F.pmod(F.xxhash64("f"), F.col("parts")))
     tiles = shared.cut(split.groupBy("hi", "lo", "sub").agg(F.collect_list("f").alias("x")))
+    # pairs of tiles by their numbers alone; the arrays come by joins on a tile's number, so that no cell is hot
+    named = tiles.select(F.struct("hi", "lo", "sub").alias("n"), "hi", "lo")
     steps = [(h, low) for h in range(-radius, radius + 1) for low in range(-radius, radius + 1) if abs(h) + abs(low) <= radius]
     offsets = F.array(*[F.struct(F.lit(h).alias("dh"), F.lit(low).alias("dl")) for h, low in steps])
-    left = tiles.select("*", F.explode(offsets).alias("o")).select("x", "sub", "hi", "lo", (F.col("hi") + F.col("o.dh")).alias("hi2"), (F.col("lo") + F.col("o.dl")).alias("lo2"))
-    right = tiles.select(F.col("x").alias("y"), F.col("sub").alias("sub2"), F.col("hi").alias("hi2"), F.col("lo").alias("lo2"))
-    pairs = left.join(right, ["hi2", "lo2"]).filter(F.struct("hi", "lo", "sub") <= F.struct(F.col("hi2").alias("hi"), F.col("lo2").alias("lo"), F.col("sub2").alias("sub")))
+    left = named.select("n", "hi", "lo", F.explode(offsets).alias("o")).select(F.col("n").alias("p"), (F.col("hi") + F.col("o.dh")).alias("hi"), (F.col("lo") + F.col("o.dl")).alias("lo"))
+    pairs = left.join(named.withColumnRenamed("n", "q"), ["hi", "lo"]).filter("p <= q").select("p", "q")
+    x, y = (tiles.select(F.struct("hi", "lo", "sub").alias(n), F.col("x").alias(c)) for n, c in (("p", "x"), ("q", "y")))
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return pairs.select("x", "y").repartition(4 * width, F.xxhash64(F.element_at("x", 1), F.element_at("y", 1))).mapInArrow(W.released(_compared(radius)), "a bigint, b bigint")
+    both = pairs.join(x, "p").join(y, "q").select("x", "y", "p", "q").repartition(4 * width, "p", "q")
+    return both.select("x", "y").mapInArrow(W.released(_compared(radius)), "a bigint, b bigint")
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """node, root for every node of the edges (a, b), root being the least node of its component."""
-    edges = shared.cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
+    edges, folder = shared.kept(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
     before = None
     for _ in range(most_rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -133,7 +131,9 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
-        edges = shared.cut(small)
+        read = folder
+        edges, folder = shared.kept(small)
+        shared.discard(read)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -144,19 +144,28 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """docs with _k and _t, a document's identity: its id (NO_ID for null) and a hash of its text."""
-    return docs.withColumns({"_k": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)), "_t": F.xxhash64("text")})
+    """k, t (a document's identity: its id, NO_ID for null, and a hash of its text), text and, in the struct rest, all
+    other columns."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)).alias("k"), F.xxhash64("text").alias("t"), "text", *shared.rest_of(docs, "text"))
 
 
 def representatives(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: int = 3) -> DataFrame:
-    """_k, _t: the least document of each component, by id and then by the hash of its text."""
-    prints = W.mapped(keyed(docs).select("_k", "_t", "text"), _fingerprints(shingle, seed), "_k bigint, _t bigint, f bigint")
-    distinct = shared.cut(prints.groupBy("f").agg(F.min(F.struct("_k", "_t")).alias("least")))
+    """k, t: the least document of each component, by id and then by the hash of its text."""
+    prints = W.mapped(keyed(docs).select("k", "t", "text"), _fingerprints(shingle, seed), "k bigint, t bigint, f bigint")
+    distinct = shared.cut(prints.groupBy("f").agg(F.min(F.struct("k", "t")).alias("least")))
     roots = components(links(distinct.select("f"), radius))
     placed = distinct.join(roots, F.col("f") == F.col("node"), "left").select("least", F.coalesce("root", "f").alias("root"))
     return placed.groupBy("root").agg(F.min("least").alias("least")).select("least.*")
 
 
+def first_of_each(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: int = 3) -> DataFrame:
+    """docs without all but the least document of each component, and without rows that repeat an id and its text."""
+    key = ["k", "t"]
+    # joined and made distinct by one key, so that texts have one exchange for both
+    one = keyed(docs).join(representatives(docs, shingle, seed, radius), key, "left_semi").dropDuplicates(key)
+    return one.select(*["text" if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, radius: int = 3) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id reachable by links)."""
     prints = shared.cut(fingerprints(docs, shingle, seed))

@@ -10,10 +10,15 @@ one with the least hash (the leftmost of equals) stands for it. Equal long windo
 long window whose representative occurs once in the corpus occurs once too; nothing is lost, and about 2 / (n + 1) of
 the windows are counted, n being the windows of that level in one long window.
 
+Windows that repeat within a slice are known to be repeats: they need no meeting with others, and send one witness of
+their hash for the windows of other slices. So a very common window has at most two rows a slice where hashes meet, and
+no task gets the occurrences of one.
+
 Defined cases: null and empty texts have no words (nothing removed, the hash of the empty text); texts shorter than a
 window keep all words; a null doc_id orders before all others; rows that repeat both doc_id and text are the same
 document and get the same result each; rows with one doc_id and different texts are documents of their own, ordered
-by a hash of the text; an empty table gives no rows; other columns are ignored.
+by a hash of the text; an empty table gives no rows; very long texts are read whole, a slice each; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -32,12 +37,12 @@ KEY = ["k", "t"]
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
-def keyed(docs: DataFrame, rest: list[str] | None = None) -> DataFrame:
-    """k, t (the document's identity), text and, in a struct, the columns named rest. All levels read all of it, so
-    that they have one exchange of the texts in common."""
+def keyed(docs: DataFrame, with_rest: bool = False) -> DataFrame:
+    """k, t (the document's identity: its id and a hash of its text), text and, in the struct rest, all other columns.
+    All levels read all of it, so that they have one exchange of the texts in common."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    more = [F.struct(*rest).alias("rest")] if rest else []
-    return docs.select(*more, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)).alias("k"), F.hash(text).alias("t"), text.alias("text"))
+    more = shared.rest_of(docs, "text") if with_rest else []
+    return docs.select(*more, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(shared.NO_ID)).alias("k"), F.xxhash64(text).alias("t"), text.alias("text"))
 
 
 def _representatives(h: np.ndarray, ok: np.ndarray, n: int) -> np.ndarray:
@@ -78,38 +83,74 @@ def _places(column: pa.Array) -> list[np.ndarray | None]:
     return [flat[c - n : c] if n else None for c, n in zip(cuts, sizes, strict=True)]
 
 
-def _emit(part: pa.RecordBatch, words: W.Words, at: np.ndarray, columns: list[pa.Array], names: list[str]) -> pa.RecordBatch | None:
-    if not len(at):
+def _fresh(words: W.Words, k: np.ndarray, t: np.ndarray, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's document by number, in the order of documents, and ok without the windows of rows that repeat one."""
+    doc, new, order = np.empty(len(k), np.int64), np.ones(len(k), bool), np.lexsort((t, k))
+    new[1:] = (k[order][1:] != k[order][:-1]) | (t[order][1:] != t[order][:-1])
+    doc[order] = np.cumsum(new) - 1
+    first = np.zeros(len(k), bool)
+    first[order[new]] = True
+    return doc, ok & first[words.row[: len(ok)]]
+
+
+#: Rows of a level. h, g: the window's hash (g is a second one at the last level, else 0); place: its first word; known:
+#: places settled within the slice (place is -1 then), whose h and g are the document's own and meet no other row's.
+#: A witness of a settled hash has a null k.
+FOUND = "k bigint, t bigint, place int, h bigint, g int, known array<int>"
+
+
+def _rows(k, t, place, h, g, by_k, by_t, lists, witness) -> pa.RecordBatch | None:
+    n, m, w = len(k), len(by_k), len(witness)
+    if not n + m + w:
         return None
-    rows = words.row[at]
-    key = [pa.array(part.column(c).to_numpy(zero_copy_only=False)[rows]) for c in KEY]
-    return pa.RecordBatch.from_arrays([*key, pa.array((at - words.first[rows]).astype(np.int32)), *columns], names=[*KEY, "place", *names])
+    own = W.mix(by_k.view(np.uint64) ^ W.mix(by_t.view(np.uint64)))
+    none = [None] * w
+    ids = lambda x, y: pa.concat_arrays([pa.array(np.concatenate([x, y])), pa.array(none, pa.int64())])
+    return pa.RecordBatch.from_arrays(
+        [
+            ids(k, by_k), ids(t, by_t), pa.array(np.concatenate([place, np.full(m + w, -1)]).astype(np.int32)),
+            pa.array(np.concatenate([h, own, witness]).view(np.int64)), pa.array(np.concatenate([g, np.zeros(m + w, np.uint64)]).astype(np.uint32).view(np.int32)),
+            pa.array([None] * n + lists + none, pa.list_(pa.int32())),
+        ],
+        names=[x.split()[0] for x in FOUND.split(", ")],
+    )
+
+
+def _settled(rows: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Rows (sorted) that have settled places, and the places of each."""
+    by, begin = np.unique(rows, return_index=True)
+    return by, np.split(place.astype(np.int32), begin[1:]) if len(by) else []
 
 
 def _candidates(level: int, previous: int | None, length: int):
-    """One row per representative window of the level in candidate long windows: its hash and place."""
+    """Representative windows of the level in candidate long windows: see FOUND."""
 
     def run(part: pa.RecordBatch):
         words = W.split(part.column("text"))
-        listed = None
-        if previous:
-            listed = _places(part.column("places"))
+        k, t = (part.column(c).to_numpy(zero_copy_only=False) for c in KEY)
         if previous:
-            _, _, ok = _alive(words, previous, length, listed)
+            _, _, ok = _alive(words, previous, length, _places(part.column("places")))
             h, rep, _ = _alive(words, level, length, None)
         else:
             h, rep, ok = _alive(words, level, length, None)
+        _, ok = _fresh(words, k, t, ok)
         marked = np.zeros(len(h), bool)
         marked[rep[ok]] = True
         at = np.flatnonzero(marked)
-        return _emit(part, words, at, [pa.array(h[at].view(np.int64))], ["h"])
+        rows = words.row[at]
+        place = at - words.first[rows]
+        _, kind, count = np.unique(h[at], return_inverse=True, return_counts=True)
+        again = count[kind] > 1
+        one = ~again
+        by, lists = _settled(rows[again], place[again])
+        return _rows(k[rows[one]], t[rows[one]], place[one], h[at][one], np.zeros(int(one.sum()), np.uint64), k[by], t[by], lists, np.unique(h[at][again]))
 
     return run
 
 
 def _long_windows(previous: int | None, length: int):
-    """Candidate long windows: a row for the first of each sequence in a slice, whose status others decide, and one row
-    a document for the places already known to be repeats (`known`)."""
+    """Candidate long windows, the first of each sequence in the slice, whose status others decide; the later ones are
+    known to be repeats."""
 
     def run(part: pa.RecordBatch):
         words = W.split(part.column("text"))
@@ -118,30 +159,18 @@ def _long_windows(previous: int | None, length: int):
             _, _, ok = _alive(words, previous, length, _places(part.column("places")))
         else:
             ok = W.inside(words, length)
+        number, ok = _fresh(words, k, t, ok)
         at = np.flatnonzero(ok)
-        if not len(at):
-            return None
         one, two = (W.windows(W.hashes(words, i), length)[at] for i in (0, 1))
         rows = words.row[at]
         place = at - words.first[rows]
-        rank = np.empty(len(k), np.int64)  # rows with one key are one document
-        order = np.lexsort((t, k))
-        rank[order] = np.concatenate([[0], np.cumsum((np.diff(k[order]) != 0) | (np.diff(t[order]) != 0))])
-        order = np.lexsort((place, rank[rows], two, one))
-        new = np.concatenate([[True], (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)])
+        doc = number[rows]
+        order = np.lexsort((place, doc, two, one))
+        new = np.concatenate([[True], (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)])[: len(order)]
         first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        same = (rank[rows][order] == rank[rows][order][first]) & (place[order] == place[order][first])
-        keep, known = np.sort(order[new]), np.sort(order[~same])
-        out_k, out_t, out_p = [k[rows[keep]]], [t[rows[keep]]], [place[keep]]
-        out_1, out_2, lists = [one[keep]], [two[keep]], [None] * len(keep)
-        if len(known):
-            by, begin = np.unique(rows[known], return_index=True)
-            own = W.mix(k[by].view(np.uint64) ^ W.mix(t[by].astype(np.uint64)))  # a key of its own: these rows meet no other
-            out_k.append(k[by]), out_t.append(t[by]), out_p.append(np.full(len(by), -1))
-            out_1.append(own), out_2.append(~own)
-            lists += np.split(place[known].astype(np.int32), begin[1:])
-        cols = [np.concatenate(x) for x in (out_k, out_t, out_p, out_1, out_2)]
-        return pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2].astype(np.int32)), pa.array(cols[3].view(np.int64)), pa.array(cols[4].view(np.int64)), pa.array(lists, pa.list_(pa.int32()))], names=[*KEY, "place", "h", "g", "known"])
+        keep, known = np.sort(order[new]), np.sort(order[first != np.arange(len(order))])
+        by, lists = _settled(rows[known], place[known])
+        return _rows(k[rows[keep]], t[rows[keep]], place[keep], one[keep], two[keep], k[by], t[by], lists, np.zeros(0, np.uint64))
 
     return run
 
@@ -149,9 +178,15 @@ def _long_windows(previous: int | None, length: int):
 def copies(base: DataFrame) -> DataFrame:
     """k, t, copy: documents whose whole text is that of a document with a smaller id; each of their windows starts
     earlier, and none of them starts earlier than that document's."""
-    prints = base.select(*KEY, F.md5("text").alias("d"))
-    first = prints.groupBy("d").agg(F.min("k").alias("m"), F.count("*").alias("n")).filter("n > 1")
-    return prints.join(first, "d").filter("k > m").select(*KEY, F.lit(True).alias("copy")).distinct()
+    prints = base.select(*KEY, F.xxhash64(F.lit(1), "text").alias("u"))  # t and u: 128 bits of the text
+    first = prints.groupBy("t", "u").agg(F.min("k").alias("m"), F.max("k").alias("x")).filter("x > m")
+    return prints.join(first, ["t", "u"]).filter("k > m").select(*KEY, F.lit(True).alias("copy")).distinct()
+
+
+def _listed(flagged: DataFrame) -> DataFrame:
+    """k, t, places of the flagged windows: a set a document, combined before the exchange."""
+    each = flagged.select(*KEY, F.explode(F.coalesce("known", F.array("place"))).alias("place"))
+    return each.groupBy(*KEY).agg(F.collect_set("place").alias("places"))
 
 
 def repeated_places(base: DataFrame, min_words: int = 20, start_words: int = 5) -> DataFrame:
@@ -164,14 +199,17 @@ def repeated_places(base: DataFrame, min_words: int = 20, start_words: int = 5)
     base = base.join(copies(base), KEY, "left_anti")  # whole copies are settled
     given, previous = base, None
     for level in levels[:-1]:
-        found = W.mapped(given, _candidates(level, previous, min_words), "k bigint, t int, place int, h bigint")
-        twice = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-        alive = found.join(twice, "h", "left_semi").groupBy(*KEY).agg(F.collect_set("place").alias("places"))
-        given, previous = base.join(alive, KEY), level
-    found = W.mapped(given, _long_windows(previous, min_words), "k bigint, t int, place int, h bigint, g bigint, known array<int>", most=8 << 20)
-    least = F.min(F.struct(*KEY, "place")).over(Window.partitionBy("h", "g"))
-    flagged = found.withColumn("least", least).filter(F.col("known").isNotNull() | (F.struct(*KEY, "place") > F.col("least")))
-    return flagged.groupBy(*KEY).agg(F.array_distinct(F.flatten(F.collect_list(F.coalesce("known", F.array("place"))))).alias("places"))
+        found = W.mapped(given, _candidates(level, previous, min_words), FOUND)
+        meet = Window.partitionBy("h")
+        # rows that repeat a document repeat its places: a hash has occurred twice if its least and greatest place differ
+        spot = F.struct(*KEY, "place")
+        met = found.withColumns({"low": F.min(spot).over(meet), "high": F.max(spot).over(meet)})
+        alive = met.filter(F.col("k").isNotNull() & (F.col("known").isNotNull() | (F.col("low") < F.col("high"))))
+        given, previous = base.join(_listed(alive), KEY), level
+    found = W.mapped(given, _long_windows(previous, min_words), FOUND, most=8 << 20)
+    spot = F.struct(*KEY, "place")
+    least = F.min(spot).over(Window.partitionBy("h", "g"))
+    return _listed(found.withColumn("least", least).filter(F.col("known").isNotNull() | (spot > F.col("least"))))
 
 
 def _covered(words: W.Words, listed: list[np.ndarray | None], length: int) -> np.ndarray:
@@ -221,11 +259,11 @@ def rewritten(docs: DataFrame, min_words: int = 20, start_words: int = 5) -> Dat
     """docs with text replaced by its kept words, joined by one space, where something was removed; all columns stay.
     Null texts become empty texts."""
     names = docs.columns
-    base = keyed(docs, [c for c in names if c != "text"])
+    base = keyed(docs, True)
     kept = _kept(min_words, True)
 
     def run(part: pa.RecordBatch):
-        told, rest = kept(part), part.column("rest")
+        told, rest = kept(part), part.column("rest") if "rest" in part.schema.names else pa.array([], pa.struct([]))
         changed = W.pc.greater(told.column("n_removed"), 0)
         own = {"text": W.pc.if_else(changed, told.column("kept_text"), part.column("text").cast(pa.string()))}
         own |= {f.name: rest.field(i) for i, f in enumerate(rest.type)}
