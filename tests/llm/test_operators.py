@@ -273,7 +273,8 @@ def test_warc(spark):
     text = got[1, "conversion"]
     assert text.block == "One\ntwo <b>" and text.block_digest == "sha256:" + hashlib.sha256(text.block.encode()).hexdigest()
     assert text.refers_to == got[1, "metadata"].refers_to != got[2, "metadata"].refers_to
-    assert "title: T &amp; x\r\nlanguage: en" in got[1, "metadata"].block and got[2, "conversion"].block == ""
+    assert "title: T & x\r\nlanguage: en" in got[1, "metadata"].block and got[2, "conversion"].block == ""
+    assert "\r\nhttp-status: HTTP/1.1 200 OK\r\nhttp-Content-Type: text/html" in got[1, "metadata"].block
     head, _, body = bytes(text.record).partition(b"\r\n\r\n")
     assert f"Content-Length: {len(text.block.encode())}".encode() in head and body == text.block.encode() + b"\r\n\r\n"
     assert warc.derived(warc.responses(df.limit(0))).count() == 0
