@@ -34,6 +34,8 @@ from sitesieve.llm import shared
 from sitesieve.llm import words as W
 
 KEY = ["k", "t"]
+#: Groups of equal texts whose rows are dealt out.
+HOT_GROUPS = 1000
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
@@ -177,10 +179,14 @@ def _long_windows(previous: int | None, length: int):
 
 def copies(base: DataFrame) -> DataFrame:
     """k, t, copy: documents whose whole text is that of a document with a smaller id; each of their windows starts
-    earlier, and none of them starts earlier than that document's."""
+    earlier, and none of them starts earlier than that document's. The largest groups of copies (HOT_GROUPS, which bounds
+    the broadcast) are known to every task, and their rows are dealt out by id instead of meeting in one place."""
     prints = base.select(*KEY, F.xxhash64(F.lit(1), "text").alias("u"))  # t and u: 128 bits of the text
-    first = prints.groupBy("t", "u").agg(F.min("k").alias("m"), F.max("k").alias("x")).filter("x > m")
-    return prints.join(first, ["t", "u"]).filter("k > m").select(*KEY, F.lit(True).alias("copy")).distinct()
+    groups = prints.groupBy("t", "u").agg(F.min("k").alias("m"), F.max("k").alias("x"), F.count("*").alias("n")).filter("x > m")
+    hot = groups.orderBy(F.desc("n"), "t", "u").limit(HOT_GROUPS).select("t", "u", F.col("m").alias("least"))
+    dealt = prints.join(F.broadcast(hot), ["t", "u"], "left").withColumn("j", F.when(F.col("least").isNull(), F.col("t")).otherwise(F.xxhash64("k")))
+    met = dealt.join(groups.select(F.col("t").alias("j"), "u", "m"), ["j", "u"], "left")
+    return met.filter(F.col("k") > F.coalesce("least", "m")).select(*KEY, F.lit(True).alias("copy")).distinct()
 
 
 def _listed(flagged: DataFrame) -> DataFrame:
