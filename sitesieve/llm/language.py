@@ -276,8 +276,11 @@ def trained(docs: DataFrame, train_docs: int = 400, train_bytes: int = 64 << 10)
     )
     usable = usable.withColumn("o", F.xxhash64("doc_id", "text", F.lit(11)))
     key = ["lang", "o", "doc_id"]
+    # the commonest train_docs languages, and of each some three times the hashes that are needed: few rows meet for a rank
+    common = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(train_docs)
+    few = F.shiftrightunsigned("o", 11) / 2.0**53 * F.col("n") < 3 * train_docs
     turns = Window.partitionBy("lang").orderBy("o", "doc_id")
-    each = usable.select(*key).withColumn("turn", F.dense_rank().over(turns)).filter(F.col("turn") <= train_docs)
+    each = usable.select(*key).join(F.broadcast(common), "lang").filter(few).select(*key).withColumn("turn", F.dense_rank().over(turns)).filter(F.col("turn") <= train_docs)
     least = each.distinct().orderBy("turn", "o", "lang", "doc_id").limit(train_docs).select(*key)
     rows = usable.join(F.broadcast(least), key).groupBy(*key).agg(F.min("text").alias("text")).collect()  # train_docs rows of train_bytes at most
     rows.sort(key=lambda r: (r.doc_id, r.lang, r.text))
