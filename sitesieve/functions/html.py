@@ -33,7 +33,9 @@ def headings(html: Column) -> Column:
 
 
 def hrefs(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(r'(?i)<a\s[^>]*?href="([^"]*)"'), F.lit(1))
+    """Targets of all links, quoted in either way or bare."""
+    tags = F.regexp_extract_all(html, F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1))
+    return F.transform(tags, lambda t: F.regexp_replace(t, r"""^["']|["']$""", ""))
 
 
 def lines(html: Column) -> Column:

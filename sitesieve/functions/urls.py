@@ -5,35 +5,90 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Second labels that make a suffix of two parts with a country's.
-SECOND = ("ac", "co", "com", "edu", "gov", "net", "org")
+from sitesieve.functions import fixed
 
+_URL = r"^[a-zA-Z][a-zA-Z0-9+.-]*://"
 
-def host(url: Column) -> Column:
-    """Lower-case host without www. and port."""
-    return F.regexp_replace(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)", 1)), r"^www\.", "")
 
+def host(value: Column) -> Column:
+    """Lower-case host, without www. and port, of a URL, an address or a bare domain; empty if there is none."""
+    v = F.lower(F.trim(F.coalesce(value, F.lit(""))))
+    v = F.when(v.contains("@") & ~v.contains("/"), F.substring_index(v, "@", -1)).otherwise(v)
+    return F.regexp_replace(F.regexp_extract(v, r"^(?:[a-z][a-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]*)", 1), r"^www\.|\.+$", "")
 
-def site(h: Column) -> Column:
-    """The registrable domain: two labels, or three under a suffix of two parts."""
-    labels = F.split(h, r"\.")
-    n = F.size(labels)
-    three = (n >= 3) & F.element_at(labels, F.when(n >= 2, -2).otherwise(-1)).isin(*SECOND) & (F.length(F.element_at(labels, -1)) == 2)
-    return F.when(n <= 2, h).when(three, F.array_join(F.slice(labels, -3, 3), ".")).otherwise(F.array_join(F.slice(labels, -2, 2), "."))
+
+def ascii_host(h: Column) -> Column:
+    """Punycode of a host; hosts that cannot be converted (empty or over-long labels) stay as they are."""
+    h = F.regexp_replace(F.lower(F.trim(F.coalesce(h, F.lit("")))), r"\.+$", "")
+    plain = h.rlike(r"^[\x00-\x7f]*$") | h.rlike(r"\.\.|^\.|[^.]{50,}")
+    return F.when(plain, h).otherwise(F.reflect(F.lit("java.net.IDN"), F.lit("toASCII"), F.when(plain, F.lit("")).otherwise(h)))
+
+
+def shown_host(h: Column) -> Column:
+    """Punycode labels as they are shown to people."""
+    return F.reflect(F.lit("java.net.IDN"), F.lit("toUnicode"), h)
+
+
+def _labels(h: Column) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(h, F.lit(""))), r"\."), lambda x: x != "")
+
+
+def _last(labels: Column, k: int) -> Column:
+    return F.array_join(F.slice(labels, F.greatest(F.size(labels) - k + 1, F.lit(1)), F.lit(k)), ".")
+
+
+def registrable(h: Column) -> Column:
+    """The registrable domain: two labels, or three under a suffix of two."""
+    labels = _labels(h)
+    return F.when((F.size(labels) >= 3) & _last(labels, 2).isin(*fixed.TWO_PART_SUFFIXES), _last(labels, 3)).otherwise(_last(labels, 2))
+
+
+site = registrable
+
+
+def own_site(h: Column) -> Column:
+    """The unit that is one company's: the registrable domain, or the label before a shared suffix (the longest counts)."""
+    labels = _labels(ascii_host(h))
+    labels = F.when((F.element_at(F.concat(labels, F.array(F.lit(""))), 1) == "www") & (F.size(labels) > 2), F.slice(labels, 2, 99)).otherwise(labels)
+    under = lambda k: (F.size(labels) > k) & _last(labels, k).isin(*fixed.SHARED_SUFFIXES)
+    return F.when(under(3), _last(labels, 4)).when(under(2), _last(labels, 3)).otherwise(_last(labels, 2))
 
 
 def core(h: Column) -> Column:
-    return F.substring_index(site(h), ".", 1)
+    """The brand's part of a domain."""
+    return F.substring_index(registrable(h), ".", 1)
+
+
+def own_core(h: Column) -> Column:
+    """The brand's part of the company's site, as people read it."""
+    return F.substring_index(shown_host(own_site(h)), ".", 1)
+
+
+def is_aggregator(h: Column) -> Column:
+    return h.isin(*fixed.AGGREGATORS) | own_site(h).isin(*fixed.AGGREGATORS) | registrable(h).isin(*fixed.AGGREGATORS)
+
+
+def is_free_mail(h: Column) -> Column:
+    return h.isin(*fixed.FREE_MAIL) | registrable(h).isin(*fixed.FREE_MAIL)
+
+
+def is_connection_error(error: Column, markers: list[str]) -> Column:
+    """A failure of the connection, not an answer: the error starts with one of the markers."""
+    out = F.lit(False)
+    for m in markers:
+        out = out | F.coalesce(error, F.lit("")).startswith(m)
+    return out
 
 
 def path(url: Column) -> Column:
-    return F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    return F.regexp_extract(url, _URL + r"[^/?#]*([^?#]*)", 1)
 
 
 def comparable(url: Column) -> Column:
-    """Without scheme, www., fragment and last slash."""
-    rest = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)", 1)
-    return F.concat(host(url), F.regexp_replace(rest, r"/+$", ""))
+    """Without scheme, www., port, fragment and the path's last slashes."""
+    url = F.trim(url)
+    query = F.regexp_extract(url, r"^[^?#]*(\?[^#]+)", 1)
+    return F.concat(host(url), F.regexp_replace(path(url), r"/+$", ""), query)
 
 
 def without_tracking(url: Column) -> Column:
@@ -43,7 +98,23 @@ def without_tracking(url: Column) -> Column:
 
 
 def clean_path(p: Column) -> Column:
-    """Dot segments removed, a fold over the segments."""
-    segments = F.split(p, "/")
-    step = lambda acc, s: F.when(s == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(acc)).when(s == ".", acc).otherwise(F.concat(acc, F.array(s)))
-    return F.array_join(F.aggregate(segments, F.expr("cast(array() as array<string>)"), step), "/")
+    """Dot segments (spelled %2e too) removed, a fold over the segments; one at the end leaves its slash."""
+    segments = F.slice(F.split(p, "/", -1), 2, 1 << 20)
+    n = F.size(segments)
+    dots = lambda s: F.regexp_replace(s, "(?i)%2e", ".")
+    fold = lambda acc, s: F.when(dots(s) == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(dots(s) == ".", acc).otherwise(F.concat(acc, F.array(s)))
+    kept = F.aggregate(segments, F.expr("cast(array() as array<string>)"), fold)
+    tail = F.when((n > 0) & dots(F.element_at(F.concat(F.array(F.lit("")), segments), -1)).isin(".", ".."), F.array(F.lit(""))).otherwise(F.expr("cast(array() as array<string>)"))
+    return F.when(p == "", "").otherwise(F.concat(F.lit("/"), F.array_join(F.concat(kept, tail), "/")))
+
+
+def requested(url: Column) -> Column:
+    """A URL as it is asked for: dot segments, fragment, an empty query, tabs and line ends go; others stay as they are."""
+    x = F.regexp_replace(F.trim(F.coalesce(url, F.lit(""))), r"[\t\r\n]", "")
+    base, query = F.regexp_extract(x, r"^(?i:https?)(://[^/?#]+)", 0), F.regexp_extract(x, r"^[^?#]*(\?[^#]+)", 1)
+    base = F.concat(F.lower(F.substring_index(base, ":", 1)), F.substr(base, F.length(F.substring_index(base, ":", 1)) + 1))
+    return F.when(x.rlike(r"^(?i:https?)://[^/?#]"), F.concat(base, clean_path(path(x)), query)).otherwise(url)
+
+
+def is_robots_file(url: Column) -> Column:
+    return path(url) == "/robots.txt"

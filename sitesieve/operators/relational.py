@@ -61,6 +61,23 @@ def group_sizes(df: DataFrame, key: str, row: str) -> DataFrame:
     return df.select(row, key).join(sizes, key).select(row, key, (F.col("n") - 1).alias("others"), "first_row")
 
 
+def shortened(x: Column, edits: int) -> Column:
+    """A string and all it becomes by leaving out up to `edits` characters: two strings within so many edits share one."""
+    drop = lambda v: F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.length(v), F.lit(1))), lambda i: F.length(v) > 0), lambda i: F.concat(F.substring(v, F.lit(1), i - 1), F.substr(v, i + 1)))
+    every = F.array(x)
+    for _ in range(edits):
+        every = F.array_distinct(F.concat(every, F.flatten(F.transform(every, drop))))
+    return every
+
+
+def near_strings(df: DataFrame, value: str, edits: int, on: Cols = []) -> DataFrame:  # noqa: B006
+    """on, a, b: distinct values within `edits` edits of each other, a < b; an equi join on shortened() makes the pairs, so
+    that only strings that may be near meet."""
+    keys = df.select(*on, value).distinct().select(*on, value, F.explode(shortened(F.col(value), edits)).alias("_key"))
+    a, b = keys.withColumnRenamed(value, "a"), keys.withColumnRenamed(value, "b")
+    return a.join(b, [*on, "_key"]).filter("a < b").select(*on, "a", "b").distinct().filter(F.levenshtein("a", "b", edits) >= 0)
+
+
 def band_join(left: DataFrame, right: DataFrame, on: Cols, a: str, b: str, width: int) -> DataFrame:
     """Rows of equal keys with |a - b| <= width; buckets of the width make the band part of the equi key."""
     l = left.withColumn("_cell", F.explode(F.array(*[F.floor(F.col(a) / width) + i for i in (-1, 0, 1)])))
@@ -76,10 +93,14 @@ def last_before(df: DataFrame, keys: Cols, order: list, value: Column, wanted: C
     return out.withColumn(name, F.last(F.when(wanted, value), ignorenulls=True).over(inner)).drop("_part")
 
 
-def nearest(df: DataFrame, keys: Cols, order: list, value: Column, wanted: Column, before: str, after: str) -> DataFrame:
-    """As-of in both directions: the wanted values next before and next after each row."""
+def nearest(df: DataFrame, keys: Cols, order: list, value: Column, wanted: Column, before: str, after: str, barrier: Column | None = None) -> DataFrame:
+    """As-of in both directions: the wanted values next before and next after each row, none from beyond a barrier (a
+    row's own barrier does not stop it)."""
     w = Window.partitionBy(*keys).orderBy(*order)
     x = F.when(wanted, value)
+    if barrier is not None:
+        hit = F.when(barrier | wanted, F.struct(F.when(wanted & ~barrier, value).alias("v")))
+        return df.withColumns({before: F.last(hit, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))["v"], after: F.first(hit, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))["v"]})
     return df.withColumns({before: F.last(x, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), after: F.first(x, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))})
 
 
@@ -133,10 +154,11 @@ def split_ab(df: DataFrame, stratum: str, key: Column, seed: str) -> DataFrame:
 
 
 def on_every(df: DataFrame, group: str, member: str, value: str, least: int) -> DataFrame:
-    """Relational division: values that all members of a group have, for groups of `least` members or more."""
-    members = df.groupBy(group).agg(F.count_distinct(member).alias("members")).filter(F.col("members") >= least)
-    have = df.groupBy(group, value).agg(F.count_distinct(member).alias("have"))
-    return have.join(members, group).filter("have = members").select(group, value, "members")
+    """Relational division: values that all members of a group have, for groups of `least` members or more. Members of
+    values and of groups are counted in one pass, by grouping sets."""
+    sets = df.groupingSets([[group, value], [group]], group, value).agg(F.count_distinct(member).alias("have"), F.grouping(value).alias("whole"))
+    members = F.max(F.when(F.col("whole") == 1, F.col("have"))).over(Window.partitionBy(group))
+    return sets.withColumn("members", members).filter("whole = 0 and have = members").filter(F.col("members") >= least).select(group, value, "members")
 
 
 def repeated_keys(df: DataFrame, row: str, columns: Cols) -> DataFrame:

@@ -16,11 +16,11 @@ def value(spark, f, *given):
     "f, given, wanted",
     [
         (text.collapsed, " a  b\n", "a b"), (text.normal, "  Ёлка  И Ёж ", "елка и еж"), (text.latin, "Щука-Яна", "schuka-yana"),
-        (text.squashed, "Philipp", "filip"), (text.digit_runs, "a1 b22 1", ["1", "22"]), (text.sentences, "One. Two! Three", 2),
-        (text.masked_numbers, "call 79161234567 now", "call ********67 now"), (text.words_at_bytes, "a b c", 3),
+        (text.squashed, "Philipp", "filip"), (text.squashed, "Ункомтех", "unkomteh"), (text.squashed, "uncomtech", "unkomteh"), (text.squashed, "Техносфера", "tehnosfera"), (text.digit_runs, "a1 b22 1", ["1", "22"]), (text.digit_runs, "1 500 и 1,500,000", ["1500", "1500000"]), (text.sentences, "One. Two! Three", 2), (text.sentences, "Он жил в г. Москва. Да! Нет", 2),
+        (text.masked_mobiles, "call +7 (916) 123-45-67, 8 495 1234567", "call +7 (***) ***-**-67, 8 495 1234567"), (text.words_at_bytes, "a b c", 3),
         (text.emails, "x a@b.example, a@b.example y", ["a@b.example"]), (urls.host, "HTTPS://www.A.Example:80/x", "a.example"),
-        (urls.site, "m.shop.co.uk", "shop.co.uk"), (urls.site, "a.b.example.com", "example.com"), (urls.core, "m.acme.example", "acme"),
-        (urls.clean_path, "/a/./b/../c", "/a/c"), (urls.without_tracking, "http://a.example/?page=2&ref=x#t", "http://a.example/?page=2"),
+        (urls.site, "m.shop.co.uk", "shop.co.uk"), (urls.site, "a.shop.msk.ru", "shop.msk.ru"), (urls.site, "x.net.de", "net.de"), (urls.site, "a.b.example.com", "example.com"), (urls.core, "m.acme.example", "acme"),
+        (urls.clean_path, "/a/./b/../c", "/a/c"), (urls.requested, "http://a.ru/a/../private/x#f", "http://a.ru/private/x"), (urls.requested, "http://a.ru/a/%2e%2E/", "http://a.ru/"), (urls.requested, "ftp://a.ru/../x", "ftp://a.ru/../x"), (urls.without_tracking, "http://a.example/?page=2&ref=x#t", "http://a.example/?page=2"),
         (html.title, "<title> A &amp; B </title>", "A & B"), (html.visible, "<p>a<script>x</script> <b>b</b>", "a b"), (html.lines, "<p>aa</p><p>aa</p><div>bb", ["aa", "bb"]),
     ],
 )

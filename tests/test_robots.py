@@ -17,7 +17,7 @@ def test_globs_like_a_plain_matcher(spark):
         assert got == fnmatch.fnmatchcase(p, key[:-1] if key.endswith("$") else key + "*"), (key, p)
 
 
-@pytest.mark.parametrize("given, wanted", [("/a%2fb", "/a%2Fb"), ("/%41%7e", "/A~"), ("/é", "/%C3%A9"), ("/100%", "/100%"), ("/%zz", "/%zz"), ("", ""), ("/%c3%a9", "/%C3%A9")])
+@pytest.mark.parametrize("given, wanted", [("/a%2fb", "/a%2Fb"), ("/%41%7e", "/A~"), ("/é", "/%C3%A9"), ("/100%", "/100%25"), ("/%zz", "/%25zz"), ("/a b|<\"", "/a%20b%7C%3C%22"), ("/%2F%2a", "/%2F%2A"), ("", ""), ("/%c3%a9", "/%C3%A9")])
 def test_spelling(spark, given, wanted):
     assert spark.createDataFrame([(given,)], "x string").select(robots.spelled(F.col("x"))).first()[0] == wanted
 
@@ -41,3 +41,21 @@ def test_states(spark):
     rows = [(200, "User-agent: *"), (204, ""), (200, None), (404, None), (429, None), (301, None), (503, None), (None, None)]
     df = spark.createDataFrame(rows, "status int, body string")
     assert [r[0] for r in df.select(robots.state(F.col("status"), F.col("body"))).collect()] == ["rules", "open", "open", "open", "closed", "closed", "closed", "closed"]
+
+
+@pytest.mark.parametrize("agent, wanted", [("Mozilla/5.0 (compatible; OutreachResearchBot/1.0; +x)", "outreachresearchbot"), ("Mozilla/5.0 Chrome/1", ""), ("my-bot/2", "my-bot")])
+def test_tokens(spark, agent, wanted):
+    assert spark.createDataFrame([(agent,)], "x string").select(robots.token(F.col("x"))).first()[0] == wanted
+
+
+def test_paths_lose_their_dot_segments(spark):
+    df = spark.createDataFrame([("http://a.ru/a/../private/x",), ("http://a.ru/a/%2e%2e/private/x",), ("http://a.ru",)], "x string")
+    assert [r[0] for r in df.select(robots.path(F.col("x"))).collect()] == ["/private/x", "/private/x", "/"]
+
+
+def test_answers_and_bytes(spark):
+    import gzip
+
+    rows = [(200, gzip.compress(b"Disallow: /")), (200, b"\x1f\x8bbroken"), (200, "Disallow: /\n# \u0440".encode("cp1251")), (200, b"<html>"), (302, None), (0, None)]
+    df = spark.createDataFrame(rows, "status int, raw binary").select(robots.answer(F.col("status"), robots.decoded("raw")).alias("a"))
+    assert [(r.a.state, r.a.why) for r in df.collect()] == [("rules", "file"), ("closed", "not unpacked"), ("rules", "file"), ("open", "a page"), ("closed", "redirect without a file"), ("closed", "no answer")]
