@@ -382,7 +382,7 @@ def extractive_fact(read):
     return best.select("site", "page_id", n("score").alias("score"), F.col("line").alias("fact"))
 
 
-NUMBERS = "regexp_extract_all(regexp_replace(regexp_replace({x}, '(\\d)[\\s.,](\\d{{3}})\\b', '\\1\\2', 'g'), '(\\d)[\\s.,](\\d{{3}})\\b', '\\1\\2', 'g'), '\\d+')"
+NUMBERS = "regexp_extract_all(regexp_replace(regexp_replace({x}, '[\\s.,](\\d{{3}})\\b', chr(1) || '\\1', 'g'), '(\\d)' || chr(1), '\\1', 'g'), '\\d+')"
 
 
 @query(rf"""with m as (select doc_id, text, regexp_replace(text, '([.!?…]+)(\s+[A-ZА-ЯЁ«"(])', '\1' || chr(1) || '\2', 'g') as marked from documents),

@@ -3,6 +3,15 @@ a function works on spans, by Python; both see the same text."""
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once: a Column used many times in an expression is copied each time, and
+    expressions built of such grow beyond what a plan can hold."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
 
 def java(pattern: str) -> str:
     """The pattern for Spark: without case, and with \\w, \\s and \\b for all scripts."""

@@ -235,16 +235,29 @@ def role(title: Column, department: Column | None = None) -> Column:
     low = T.normal(title)
     if department is not None:
         low = F.when(like(low, fixed.GENERIC_HEAD_TITLE) & (F.coalesce(department, F.lit("")) != ""), F.concat(low, F.lit(" "), T.normal(department))).otherwise(low)
-    deputy = like(low, fixed.DEPUTY)
+    return fixed.let(low, lambda x: fixed.let(_judged_title(x), lambda y: F.struct(_role_of(y).alias("role"), like(x, fixed.DEPUTY).alias("deputy"))))
+
+
+def _like(x: Column, pattern: str) -> Column:
+    return x.rlike(fixed.java(pattern))
+
+
+def _judged_title(low: Column) -> Column:
+    """The second title of a deputy, if there is one; else the title."""
     second = F.regexp_extract(low, r"(?U)^.*?(?:\s[-–—]\s+|,\s+)(.*)$", 1)
-    judged = F.when(deputy & ~like(low, fixed.STAFF_START) & like(second, f"^{fixed.TITLE_START}") & ~like(second, fixed.DEPUTY), second).otherwise(low)
-    out = F.when(like(judged, fixed.STAFF_START), "staff")
+    has = _like(low, fixed.DEPUTY) & ~_like(low, fixed.STAFF_START)
+    return fixed.let(second, lambda s: F.when(has & _like(s, f"^{fixed.TITLE_START}") & ~_like(s, fixed.DEPUTY), s).otherwise(low))
+
+
+def _role_of(title: Column) -> Column:
+    """The first rule that fits. A wanted function counts only if no staff word stands before it."""
+    out = F.when(_like(title, fixed.STAFF_START), "staff")
     for name, pattern in fixed.ROLES:
-        out = out.when(like(judged, pattern) & ~like(F.regexp_extract(judged, f"{fixed.java('')}^(.*?(?:{pattern}))", 1), rf"(?:{fixed.NOT_A_HEAD})\w*[^,;]*(?:{pattern})$"), name)
-    for name, pattern in (("other_director", fixed.OTHER_FUNCTION), ("branch", fixed.BRANCH), ("ceo", fixed.CHIEF), ("dept_head", fixed.DEPARTMENT_HEAD), ("other_director", fixed.ANY_DIRECTOR)):
-        out = out.when(like(judged, pattern), name)
-    out = out.when(like(judged, "^(?:руководител|начальник|глава)"), "dept_head").otherwise("staff")
-    return F.struct(out.alias("role"), deputy.alias("deputy"))
+        before = F.regexp_extract(title, f"{fixed.java('')}^(.*?)(?:{pattern})", 1)
+        out = out.when(_like(title, pattern) & ~_like(before, fixed.NOT_A_HEAD), name)
+    for name, pattern in (("other_director", fixed.OTHER_FUNCTION), ("branch", fixed.BRANCH), ("ceo", fixed.CHIEF), ("dept_head", fixed.DEPARTMENT_HEAD), ("other_director", fixed.ANY_DIRECTOR), ("dept_head", "^(?:руководител|начальник|глава)")):
+        out = out.when(_like(title, pattern), name)
+    return out.otherwise("staff")
 
 
 def is_generic_box(local: Column, core: Column) -> Column:

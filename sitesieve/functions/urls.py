@@ -19,9 +19,9 @@ def host(value: Column) -> Column:
 
 def ascii_host(h: Column) -> Column:
     """Punycode of a host; hosts that cannot be converted (empty or over-long labels) stay as they are."""
-    h = F.regexp_replace(F.lower(F.trim(F.coalesce(h, F.lit("")))), r"\.+$", "")
-    plain = h.rlike(r"^[\x00-\x7f]*$") | h.rlike(r"\.\.|^\.|[^.]{50,}")
-    return F.when(plain, h).otherwise(F.reflect(F.lit("java.net.IDN"), F.lit("toASCII"), F.when(plain, F.lit("")).otherwise(h)))
+    plain = lambda x: x.rlike(r"^[\x00-\x7f]*$") | x.rlike(r"\.\.|^\.|[^.]{50,}")
+    code = lambda x: F.when(plain(x), x).otherwise(F.reflect(F.lit("java.net.IDN"), F.lit("toASCII"), F.when(plain(x), F.lit("")).otherwise(x)))
+    return fixed.let(F.regexp_replace(F.lower(F.trim(F.coalesce(h, F.lit("")))), r"\.+$", ""), code)
 
 
 def shown_host(h: Column) -> Column:
@@ -39,8 +39,8 @@ def _last(labels: Column, k: int) -> Column:
 
 def registrable(h: Column) -> Column:
     """The registrable domain: two labels, or three under a suffix of two."""
-    labels = _labels(h)
-    return F.when((F.size(labels) >= 3) & _last(labels, 2).isin(*fixed.TWO_PART_SUFFIXES), _last(labels, 3)).otherwise(_last(labels, 2))
+    x = _labels(h)
+    return F.when((F.size(x) >= 3) & _last(x, 2).isin(*fixed.TWO_PART_SUFFIXES), _last(x, 3)).otherwise(_last(x, 2))
 
 
 site = registrable
@@ -48,10 +48,10 @@ site = registrable
 
 def own_site(h: Column) -> Column:
     """The unit that is one company's: the registrable domain, or the label before a shared suffix (the longest counts)."""
-    labels = _labels(ascii_host(h))
-    labels = F.when((F.element_at(F.concat(labels, F.array(F.lit(""))), 1) == "www") & (F.size(labels) > 2), F.slice(labels, 2, 99)).otherwise(labels)
-    under = lambda k: (F.size(labels) > k) & _last(labels, k).isin(*fixed.SHARED_SUFFIXES)
-    return F.when(under(3), _last(labels, 4)).when(under(2), _last(labels, 3)).otherwise(_last(labels, 2))
+    under = lambda x, k: (F.size(x) > k) & _last(x, k).isin(*fixed.SHARED_SUFFIXES)
+    bare = lambda x: F.when((F.try_element_at(x, F.lit(1)) == "www") & (F.size(x) > 2), F.slice(x, 2, 99)).otherwise(x)
+    unit = lambda x: F.when(under(x, 3), _last(x, 4)).when(under(x, 2), _last(x, 3)).otherwise(_last(x, 2))
+    return fixed.let(_labels(ascii_host(h)), lambda x: fixed.let(bare(x), unit))
 
 
 def core(h: Column) -> Column:
@@ -65,7 +65,7 @@ def own_core(h: Column) -> Column:
 
 
 def is_aggregator(h: Column) -> Column:
-    return h.isin(*fixed.AGGREGATORS) | own_site(h).isin(*fixed.AGGREGATORS) | registrable(h).isin(*fixed.AGGREGATORS)
+    return F.arrays_overlap(F.array(h, own_site(h), registrable(h)), F.array(*map(F.lit, dict.fromkeys(fixed.AGGREGATORS))))
 
 
 def is_free_mail(h: Column) -> Column:

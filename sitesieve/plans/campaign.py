@@ -263,12 +263,12 @@ def fenced_blocks(lines: DataFrame) -> DataFrame:
 
 
 def section(markdown: Column, title: str) -> Column:
-    return F.trim(F.regexp_extract(markdown, rf"(?ms)^#+\s*\Q{title}\E\s*$(.*?)(?=^#+\s|\z)", 1))
+    return F.regexp_replace(F.regexp_extract(markdown, rf"(?ms)^#+\s*\Q{title}\E\s*$(.*?)(?=^#+\s|\z)", 1), r"^\s+|\s+$", "")
 
 
 def line_differences(documents: DataFrame, tables: DataFrame, key: str = "letter") -> DataFrame:
     """key, side, line: lines that only the document or only the table has (both: key, text)."""
-    lines = lambda df: df.select(key, F.explode(F.array_distinct(F.filter(F.transform(F.split("text", "\n"), F.trim), lambda x: x != ""))).alias("line"))
+    lines = lambda df: df.select(key, F.explode(F.array_distinct(F.filter(F.transform(F.split("text", "\n"), lambda v: F.trim(v)), lambda x: x != ""))).alias("line"))
     d, t = lines(documents), lines(tables)
     return d.subtract(t).withColumn("side", F.lit("document")).unionByName(t.subtract(d).withColumn("side", F.lit("table")))
 

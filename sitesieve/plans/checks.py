@@ -31,7 +31,7 @@ def brand_of(pages: DataFrame) -> DataFrame:
     parts = F.filter(F.split(F.col("home.title"), r"\s[|–—:-]\s|\|"), lambda s: (F.trim(s) != "") & ~F.trim(s).rlike(fixed.java(fixed.GENERIC_TITLE)))
     marks = F.filter(F.concat("home.logos", "home.copyright"), lambda s: ~s.rlike(fixed.java(fixed.GENERIC_TITLE)))
     per = pages.groupBy("domain").agg(F.min_by("page", "place").alias("home"), F.min_by("page.site_name", F.when(F.col("page.site_name") != "", F.col("place"))).alias("name"))
-    brand = F.coalesce(F.nullif("name", F.lit("")), F.nullif(F.array_join(F.transform(parts, F.trim), " – "), F.lit("")), F.try_element_at(marks, F.lit(1)), F.col("domain"))
+    brand = F.coalesce(F.nullif("name", F.lit("")), F.nullif(F.array_join(F.transform(parts, lambda v: F.trim(v)), " – "), F.lit("")), F.try_element_at(marks, F.lit(1)), F.col("domain"))
     return per.select("domain", F.left(brand, F.lit(70)).alias("brand"))
 
 

@@ -62,7 +62,7 @@ class Profile:
 
     def excluded(self, name: Column, domain: Column) -> Column:
         """Why a company is left out: named as a whole word, its site, or the same brand in another zone."""
-        word = lambda x: F.lit(rf"(?<![\p{{L}}\p{{N}}]){'' if x is None else x}(?![\p{{L}}\p{{N}}])")
+        word = lambda x: rf"(?<![\p{{L}}\p{{N}}]){x}(?![\p{{L}}\p{{N}}])"
         out = F.lit(None).cast("string")
         own, plain = urls.own_site(domain), F.size(F.split(urls.own_site(domain), r"\.")) == 2
         for d in reversed(self.domains):
@@ -122,7 +122,7 @@ def search_results(answers: DataFrame) -> DataFrame:
     the site go; of a title's parts the one that fits the site is the name."""
     shape = "struct<organic:array<struct<title:string,link:string>>>"
     x = answers.select("place", F.posexplode(F.from_json("raw", shape)["organic"]).alias("i", "o")).select("place", "i", "o.title", "o.link").withColumn("domain", urls.host(F.col("link")))
-    parts = F.filter(F.transform(F.split("title", r"\s[|–—-]\s|[|:]"), F.trim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split("title", r"\s[|–—-]\s|[|:]"), lambda v: F.trim(v)), lambda p: p != "")
     key = text.squashed(urls.core(F.col("domain")))
     fits = F.filter(parts, lambda p: (F.length(key) >= 4) & (F.contains(text.squashed(p), key) | ((F.length(text.squashed(p)) >= 4) & F.contains(key, text.squashed(p)))))
     deep = F.size(F.filter(F.split(urls.path(F.col("link")), "/"), lambda s: s != "")) > 1
@@ -192,12 +192,13 @@ def opted_out(leads: DataFrame, value: str, text_columns: list[str], mark: str =
     is_address = "@" in value
     target = urls.own_site(urls.host(F.lit(value)))
     hit = (F.lower(F.trim("email")) == value) if is_address else ((urls.own_site(urls.host(F.col("site"))) == target) | (urls.own_site(F.substring_index("email", "@", -1)) == target))
-    gone, left = leads.filter(F.coalesce(hit, F.lit(False))), leads.filter(~F.coalesce(hit, F.lit(False)))
+    x = leads.withColumn("_hit", F.coalesce(hit, F.lit(False)))
+    gone, left = x.filter("_hit").drop("_hit"), x.filter("not _hit").drop("_hit")
     people = gone.select(text.person_hash(F.coalesce("surname", F.lit("")), F.coalesce("first", F.lit("")), urls.registrable(urls.host(F.col("site")))).alias("sha256"))
     hashes = people.unionByName(leads.sparkSession.range(1).select(text.hashed(F.lit(value)).alias("sha256"))).distinct()
     mention = r"(?i)(?<![\w.+-])\Q" + value + r"\E(?![\w-])" if is_address else r"(?i)(?<![\w.+-])[a-z0-9._%+-]+@(?:[a-z0-9-]+\.)*\Q" + value + r"\E(?![\w.-])"
     clean = left.withColumns({c: F.regexp_replace(c, mention, mark) for c in text_columns})
-    sites = leads.groupBy("site").agg(F.count("*").alias("before"), F.count_if(F.coalesce(hit, F.lit(False))).alias("removed"))
+    sites = x.groupBy("site").agg(F.count("*").alias("before"), F.count_if("_hit").alias("removed"))
     state = F.when(F.col("removed") == F.col("before"), "no_lead").otherwise("lead")
     return clean, hashes, sites.select("site", state.alias("status"), "removed")
 

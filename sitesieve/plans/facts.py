@@ -137,12 +137,20 @@ def located(key: Column, lines: Column) -> Column:
     return F.when(F.length(first) < 8, -1).when(hit(lines) > 0, hit(lines) - 1).otherwise(hit(two) - 1).cast("int")
 
 
+MARK = " ?\x01 ?"
+
+
+def folded_lines(content: str) -> Column:
+    """A text folded line by line: MARK parts the lines."""
+    return fuzzy.folded(F.replace(content, F.lit("\n"), F.lit(" \x01 ")))
+
+
 def fact_date(answers: DataFrame, as_of: datetime.date) -> DataFrame:
-    """answers (evidence, claimed, content and others) with fact_day and fact_year: the latest date in the quote; else the
+    """answers (evidence, claimed, content and others) with fact_day, fact_year and marked (the folded lines): the latest date in the quote; else the
     date on its line or beside it (one before a year that the quote names is another entry's); else the claimed date, if
     its month is on the page; else the latest year in the quote."""
-    content = F.split("content", "\n")
-    x = answers.withColumns({"own": dates.days(dates.spans(F.col("evidence"), as_of)), "lines": content, "place": located(fuzzy.folded("evidence"), F.split(fuzzy.folded(F.replace("content", F.lit("\n"), F.lit(" \x1f "))), " ?\x1f ?"))})
+    x = answers.withColumns({"own": dates.days(dates.spans(F.col("evidence"), as_of)), "lines": F.split("content", "\n"), "key_": fuzzy.folded("evidence"), "marked": folded_lines("content")})
+    x = x.withColumn("place", located(F.col("key_"), F.split("marked", MARK)))
     years = F.transform(F.regexp_extract_all("evidence", F.lit(r"(?<!\d)((?:19|20)\d{2})(?!\d)"), F.lit(1)), lambda y: y.cast("int"))
     at = lambda d: F.coalesce(F.when(F.col("place") + d >= 0, F.try_element_at("lines", F.col("place") + d + 1)), F.lit(""))
     x = x.withColumns({"years": years, **{f"at{i}": F.when(F.col("place") >= 0, F.try_element_at(dates.days(dates.spans(at(d), as_of)), F.lit(1))) for i, d in enumerate((0, -1, 1))}})
@@ -152,7 +160,7 @@ def fact_date(answers: DataFrame, as_of: datetime.date) -> DataFrame:
     shown = F.exists(dates.days(dates.spans(F.col("content"), as_of)), lambda d: F.trunc(d, "month") == F.trunc(F.col("said"), "month"))
     x = x.withColumn("said", claimed)
     day = F.coalesce(F.array_max("own"), F.col("at0"), *beside, F.when(shown, F.col("said")))
-    return x.withColumns({"fact_day": day, "fact_year": F.when(day.isNull(), F.array_max("years"))}).drop("own", "lines", "place", "years", "at0", "at1", "at2", "said")
+    return x.withColumns({"fact_day": day, "fact_year": F.when(day.isNull(), F.array_max("years"))}).drop("own", "lines", "place", "key_", "years", "at0", "at1", "at2", "said")
 
 
 def validated(answers: DataFrame, sources_: DataFrame, as_of: datetime.date, puffery: dict[str, list[str]] | None = None) -> DataFrame:
@@ -179,7 +187,7 @@ def validated(answers: DataFrame, sources_: DataFrame, as_of: datetime.date, puf
         ("RELATIVE_TIME", like(t, fixed.RELATIVE_TIME) & ~fresh), ("OPENING", ~like(t, fixed.OPENING)),
     ]
     verdict = F.coalesce(*[F.when(bad, F.lit(name)) for name, bad in rules], F.lit("ACCEPTED"))
-    weak = F.when(like(F.col("evidence"), fixed.GENERIC_FACT) | like(t, fixed.GENERIC_FACT), "phrase of anybody").when((F.col("kind") == "home") & located(F.col("quote"), F.split(fuzzy.folded(F.replace("content", F.lit("\n"), F.lit(" \x1f "))), " ?\x1f ?")).between(0, fixed.HERO_LINES), "banner")
+    weak = F.when(like(F.col("evidence"), fixed.GENERIC_FACT) | like(t, fixed.GENERIC_FACT), "phrase of anybody").when((F.col("kind") == "home") & located(F.col("quote"), F.split("marked", MARK)).between(0, fixed.HERO_LINES), "banner")
     return x.select(*answers.columns, verdict.alias("verdict"), "text", "evidence", "url", "fact_day", "fact_year", weak.alias("weak"), fresh.alias("fresh"))
 
 

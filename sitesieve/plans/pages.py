@@ -71,7 +71,7 @@ def site_links(parsed_pages: DataFrame, key: str = "page_id") -> DataFrame:
 def ranked_links(links: DataFrame, key: str = "page_id") -> DataFrame:
     """key, link, kind, score, rank: About and News links of each page, the best score of each, then the flatter path."""
     kind = link_kind(F.col("path"), F.col("label"))
-    known = links.withColumn("k", kind).filter("k is not null").withColumn("depth", F.regexp_count(F.trim(F.lit("/"), F.col("path")), F.lit("/")))
+    known = links.withColumn("k", kind).filter("k is not null").withColumn("depth", F.regexp_count(F.trim(F.col("path"), F.lit("/")), F.lit("/")))
     best = known.groupBy(key, "link").agg(F.max_by(F.struct(F.col("k.kind").alias("kind"), F.col("k.score").alias("score"), "depth", "place"), F.struct("k.score", -F.col("place"))).alias("b"))
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("b.score"), "b.depth", "b.place", "link"))
     return best.select(key, "link", F.col("b.kind").alias("kind"), F.col("b.score").cast("bigint").alias("score"), rank.alias("rank"))

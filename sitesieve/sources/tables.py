@@ -3,6 +3,8 @@ workbooks. Large results are written by Spark; the sinks here are for reports of
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 import os
 import uuid
@@ -10,6 +12,7 @@ import zipfile
 from pathlib import Path
 from xml.sax.saxutils import escape
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,11 +38,25 @@ def read_csv(spark: SparkSession, path: str, probe: int = 4096) -> DataFrame:
     first = files.select(F.min("path")).first()[0]
     head = spark.read.format("binaryFile").load(first).select(F.substring("content", 1, probe)).first()[0]
     encoding, sep = dialect(bytes(head))
-    df = spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"')
+    df = spark.read.csv(path, header=True, sep=sep, multiLine=True, escape='"') if encoding == "UTF-8" else _decoded_csv(files, bytes(head).decode("cp1251"), sep)
     df = df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
     return df.select([F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
 
 
+def _decoded_csv(files: DataFrame, head: str, sep: str) -> DataFrame:
+    """cp1251 files, which Spark's reader does not take: each is a row of bytes, decoded and read in its task."""
+    names = next(csv.reader(io.StringIO(head), delimiter=sep))
+
+    def run(batches):
+        for batch in batches:
+            for content in batch.column("content"):
+                rows = list(csv.reader(io.StringIO(content.as_py().decode("cp1251", "replace"), newline=""), delimiter=sep))[1:]
+                cells = [[r[i] if i < len(r) else None for r in rows if r] for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cells], names=[f"c{i}" for i in range(len(names))])
+
+    return files.select("content").mapInArrow(run, ", ".join(f"c{i} string" for i in range(len(names)))).toDF(*names)
+
+
 def read_list(spark: SparkSession, path: str, column: str = "site") -> DataFrame:
     """place, column: the lines of a list without a header."""
     lines = spark.read.text(path).withColumn("place", F.monotonically_increasing_id())

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,3 +34,23 @@ def latest(stream: DataFrame, keys: list[str], table: str):
         batch.dropDuplicates(keys).write.mode("overwrite").parquet(f"{table}/batch={number:09d}")
 
     return stream.writeStream.foreachBatch(put)
+
+
+def run(stream: DataFrame, mode: str) -> DataFrame:
+    """All that is there of a stream, as a table: batches go to a Parquet folder in the shared folder (spark.checkpoint.dir,
+    which is a folder of one's own on one machine only), and so does the stream's own state. In complete mode a batch
+    replaces the one before; else each has a folder, which it writes anew if it runs again."""
+    spark = stream.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="sitesieve-stream-")
+    folder = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/{'all' if mode == 'complete' else f'batch={number:09d}'}")
+
+    q = stream.writeStream.outputMode(mode).foreachBatch(put).option("checkpointLocation", f"{folder}-state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/*")
