@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import functools
 import itertools
 import os
 import re
@@ -23,6 +24,7 @@ def spelled_latin(x: str) -> str:
     return "".join(T.CYRILLIC.get(c, c) for c in x.lower())
 
 
+@functools.lru_cache(1 << 16)
 def sound(x: str) -> str:
     """text.squashed of a Python string."""
     key = re.sub("[^a-z0-9]", "", spelled_latin(x))
@@ -35,6 +37,14 @@ def alike(a: str, b: str) -> float:
     return difflib.SequenceMatcher(None, a, b).ratio()
 
 
+def are_alike(a: str, b: str, least: float) -> bool:
+    """alike(a, b) >= least, with the bounds by length and by letters looked at first."""
+    if 2 * min(len(a), len(b)) < least * (len(a) + len(b)):
+        return False
+    m = difflib.SequenceMatcher(None, a, b)
+    return m.quick_ratio() >= least and m.ratio() >= least
+
+
 def _mapped(f, kind):
     return lambda *columns: pa.array([f(*row) for row in zip(*(c.to_pylist() for c in columns), strict=True)], kind)
 
@@ -65,7 +75,7 @@ def has_token(token: str, text: str, glued: bool) -> bool:
     token, text = token.lower(), text.lower()
     if not text:
         return False
-    words, key = _WORD.findall(text), sound(token)
+    words, key = dict.fromkeys(_WORD.findall(text)), sound(token)
     if len(token) <= 3:
         return token in words or any(sound(w) == key for w in words)
     if any(w.startswith(token) for w in words) or re.search(rf"(?<![^\W_]){re.escape(token)}", text):
@@ -73,7 +83,7 @@ def has_token(token: str, text: str, glued: bool) -> bool:
     if len(key) < 4:
         return False
     for other in map(sound, words):
-        if key == other or (len(key) >= 5 and (other.startswith(key) or (glued and key in other))) or (len(key) >= 6 and alike(key, other) >= 0.85):
+        if key == other or (len(key) >= 5 and (other.startswith(key) or (glued and key in other))) or (len(key) >= 6 and are_alike(key, other, 0.85)):
             return True
     return glued and len(key) >= 5 and key in sound(text)
 

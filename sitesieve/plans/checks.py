@@ -49,7 +49,8 @@ def brand_checked(rows: DataFrame, pages: DataFrame) -> DataFrame:
     Whose it is else comes from other rows: their names meet the site's on their sound keys, so no pair of all rows is made."""
     x = rows.withColumn("words", text.name_words(F.col("company"))).join(zones(pages), "domain", "left").join(brand_of(pages), "domain", "left")
     own = fuzzy.name_fits_domain(F.col("company"), urls.core(F.col("domain")))
-    x = x.withColumns({"by_domain": own, "by_zone": fuzzy.any_token("words", "strong", F.lit(True)), "by_text": fuzzy.any_token("words", "body", F.lit(False))})
+    x = x.withColumns({"by_domain": own, "by_zone": fuzzy.any_token("words", "strong", F.lit(True))})
+    x = x.withColumn("by_text", fuzzy.any_token("words", F.when(~F.col("by_zone"), F.col("body")), F.lit(False)))  # long texts are read only where they decide
     x = x.join(owners(rows), "row", "left")
     ideographs = F.col("brand").rlike(fixed.CJK) & ~F.col("brand").rlike("(?i)[a-z]{3,}") & ~F.col("company").rlike(fixed.CJK)
     issue = (
