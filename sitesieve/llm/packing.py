@@ -129,9 +129,14 @@ class Encoder:
         """Stretches that are not the ones kept under their hashes. The stretches follow one another without gaps."""
         size = end - start
         odd = self.byte_count[entry] != size
-        shift = np.where(odd, 0, self.byte_at[entry] - start)
-        differ = np.flatnonzero(self.bytes[np.where(np.repeat(odd, size), 0, np.arange(len(buf)) + np.repeat(shift, size))] != buf)
-        odd[np.searchsorted(end, differ, "right")] = True
+        cuts = np.append(np.unique(np.searchsorted(start, np.arange(0, len(buf), 1 << 18))), len(start))
+        for a, b in zip(cuts, cuts[1:], strict=False):  # in runs of some 256 KB: a number a byte is eight times the text
+            if a == b:
+                continue
+            o, lo, hi = odd[a:b], int(start[a]), int(end[b - 1])
+            kept = np.repeat(np.where(o, 0, self.byte_at[entry[a:b]] - start[a:b]), size[a:b]) + np.arange(lo, hi)
+            kept[np.repeat(o, size[a:b])] = 0
+            odd[np.searchsorted(end, np.flatnonzero(self.bytes[kept] != buf[lo:hi]) + lo, "right")] = True
         return np.flatnonzero(odd)
 
     def encode(self, texts: pa.Array, end_id: int | None = 0) -> tuple[np.ndarray, np.ndarray]:
