@@ -294,7 +294,7 @@ def _run(docs: DataFrame, model: Model, f, schema) -> DataFrame:
     def run(batches):
         tagger = Tagger(model)
         for batch in batches:
-            for part in W.slices(batch, most=2 << 20):
+            for part in W.slices(batch, most=1 << 19):
                 yield f(part, *tagger.judged(part.column("text"), part.column("letter")))
 
     return docs.mapInArrow(W.released(run), schema)

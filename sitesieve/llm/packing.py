@@ -5,7 +5,7 @@ count (full sequences first, then ever shorter powers of two). Each piece is a s
 equal length form a bucket, from which batches are drawn: no sequence crosses documents, and none needs padding.
 
 Tokenizing dominates, and words repeat: texts are cut at places where the tokenizer's pre-tokenizer always cuts, and
-each distinct stretch is encoded once a worker. Documents in which the tokenizer's special token is spelled out are
+each distinct stretch is encoded once a task. Documents in which the tokenizer's special token is spelled out are
 encoded whole.
 
 Defined cases: null and empty texts have the end id alone (one piece of length 1); repeated rows are packed each; a
@@ -179,6 +179,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
+    """The worker's encoder: it outlives a task, but the stretches it keeps should not (see packed)."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
@@ -222,7 +223,16 @@ def packed(docs: DataFrame, tokenizer_path: str, most: int = 1024, end_id: int =
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    out = W.mapped(given, run, PIECES + (", ids array<int>" if with_ids else ""), most=4 << 20)
+
+    def task(batches):
+        try:
+            for batch in batches:
+                for piece in W.slices(batch, most=2 << 20):
+                    yield run(piece)
+        finally:
+            encoder(tokenizer_path).clear()  # idle workers stay, and several share an executor with the next operator
+
+    out = given.mapInArrow(W.released(task), PIECES + (", ids array<int>" if with_ids else ""))
     shown = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket"]
     return out.withColumn("sequence_id", F.monotonically_increasing_id()).select(*shown, *(["ids"] if with_ids else []))
 
