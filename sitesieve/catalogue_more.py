@@ -385,7 +385,7 @@ def check_email(read):
 
 @query(f"""with {ROWS} select row, case when row % 5 = 4 then 'another company''s site' else 'named by its site' end as code from r""")
 def check_brand(read):
-    p = pages.parsed(read("pages")).select(HOSTED().alias("domain"), F.col("page_id").alias("place"), "url", "page")
+    p = pages.parsed(R.spread(read("pages"))).select(HOSTED().alias("domain"), F.col("page_id").alias("place"), "url", "page")
     return checks.brand_checked(_rows(read).filter("company <> ''"), p).select("row", F.col("issues")[0]["code"].alias("code"))
 
 

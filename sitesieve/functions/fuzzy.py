@@ -12,6 +12,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 from sitesieve.functions import fixed
@@ -94,6 +95,33 @@ def any_token(tokens: pa.Array, text: pa.Array, glued: pa.Array) -> pa.Array:
     return _mapped(lambda t, x, g: any(has_token(w, x or "", g) for w in t or []), pa.bool_())(tokens, text, glued)
 
 
+STRONG, GLUED, BODY = range(3)
+_VALUES = pa.list_(pa.struct([("zone", pa.int32()), ("value", pa.string())]))
+_RUN = re.compile(r"[^\s\x00-/:-`{-\x7f]+")
+
+
+@F.arrow_udf(from_arrow_type(_VALUES))
+def zone_values(strong: pa.Array, body: pa.Array) -> pa.Array:
+    """The distinct runs of letters (signs that are not ASCII stay in them, so that no word is cut) of a page's strong text
+    and of its body, and the strong text's sound key."""
+
+    def one(s: str, b: str) -> list[tuple]:
+        runs = dict.fromkeys(_RUN.findall(s.lower()))
+        return [*((STRONG, x) for x in runs), (GLUED, sound.__wrapped__(s.lower())), *((BODY, x) for x in dict.fromkeys(_RUN.findall(b.lower())) if x not in runs)]
+
+    return pa.array([[{"zone": z, "value": v} for z, v in one(s or "", b or "")] for s, b in zip(strong.to_pylist(), body.to_pylist(), strict=True)], _VALUES)
+
+
+@F.arrow_udf(BooleanType())
+def stands_in(word: pa.Array, value: pa.Array, zone: pa.Array) -> pa.Array:
+    """has_token() of a word in one of zone_values()."""
+
+    def one(w: str, v: str, z: int) -> bool:
+        return len(w) > 3 and len(sound(w)) >= 5 and sound(w) in v if z == GLUED else has_token(w, v, z == STRONG)
+
+    return _mapped(one, pa.bool_())(word, value, zone)
+
+
 def name_fits_domain(company: Column, core: Column) -> Column:
     """Whether a company's name fits the brand's part of a domain."""
     zone = F.concat(F.replace(core, F.lit("-"), F.lit(" ")), F.lit(" "), F.replace(core, F.lit("-"), F.lit("")))

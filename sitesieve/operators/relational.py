@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 Cols = list[str]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over a shuffle's number of tasks, for work on a row that its bytes do not tell of: files that
+    compress well or have few row groups make few tasks, however many cores there are."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def keep_first(df: DataFrame, keys: Cols, order: list) -> DataFrame:
     """The first row of each key."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_rn = 1").drop("_rn")

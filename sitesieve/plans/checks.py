@@ -26,37 +26,49 @@ def comment(issues: Column) -> Column:
     return F.array_join(F.array_distinct(F.transform(rank, lambda x: x["c"])), "; ")
 
 
-def brand_of(pages: DataFrame) -> DataFrame:
-    """domain, brand: whom a site says it is: its name, its title's parts that say something, a logo or a copyright line."""
-    parts = F.filter(F.split(F.col("home.title"), r"\s[|–—:-]\s|\|"), lambda s: (F.trim(s) != "") & ~F.trim(s).rlike(fixed.java(fixed.GENERIC_TITLE)))
-    marks = F.filter(F.concat("home.logos", "home.copyright"), lambda s: ~s.rlike(fixed.java(fixed.GENERIC_TITLE)))
-    per = pages.groupBy("domain").agg(F.min_by("page", "place").alias("home"), F.min_by("page.site_name", F.when(F.col("page.site_name") != "", F.col("place"))).alias("name"))
-    brand = F.coalesce(F.nullif("name", F.lit("")), F.nullif(F.array_join(F.transform(parts, lambda v: F.trim(v)), " – "), F.lit("")), F.try_element_at(marks, F.lit(1)), F.col("domain"))
-    return per.select("domain", F.left(brand, F.lit(70)).alias("brand"))
+def brand_of(home: Column, name: Column, domain: Column) -> Column:
+    """Whom a site says it is: its name (the first that a page gives), the parts of its title that say something, a logo or
+    a copyright line. home: the first page's title, logos and copyright."""
+    parts = F.filter(F.split(home["title"], r"\s[|–—:-]\s|\|"), lambda s: (F.trim(s) != "") & ~F.trim(s).rlike(fixed.java(fixed.GENERIC_TITLE)))
+    marks = F.filter(F.concat(home["logos"], home["copyright"]), lambda s: ~s.rlike(fixed.java(fixed.GENERIC_TITLE)))
+    brand = F.coalesce(name, F.nullif(F.array_join(F.transform(parts, lambda v: F.trim(v)), " – "), F.lit("")), F.try_element_at(marks, F.lit(1)), domain)
+    return F.left(brand, F.lit(70))
 
 
 def zones(pages: DataFrame) -> DataFrame:
-    """domain, strong, body: where a site names itself, and its text."""
+    """domain, zone, value, home, name: the distinct runs of text of a site, and once with zone null what brand_of() asks for. A run
+    stands where the site names itself (STRONG) or in its text (BODY); GLUED are the sound keys of a page's strong text. So
+    a site is as large as its vocabulary, in many rows, and a page is parsed once."""
     core = urls.core(urls.host(F.col("url")))
     strong = F.concat_ws(" ", F.replace(core, F.lit("-"), F.lit(" ")), F.replace(core, F.lit("-"), F.lit("")), "page.title", "page.site_name", F.array_join("page.logos", " "), F.array_join(F.slice("page.h1", 1, 2), " "), F.array_join("page.copyright", " "))
     body = F.concat_ws("\n", "page.description", F.left(F.array_join("page.lines", "\n"), F.lit(8000)))
-    return pages.groupBy("domain").agg(F.array_join(F.collect_list(strong), " ").alias("strong"), F.array_join(F.collect_list(body), " ").alias("body"))
+    home = F.struct("place", "page.title", "page.logos", "page.copyright", F.nullif("page.site_name", F.lit("")).alias("name"))
+    values = F.concat(F.array(F.struct(F.lit(None).cast("int").alias("zone"), F.lit(None).cast("string").alias("value"))), fuzzy.zone_values(strong, body))
+    each = pages.select("domain", home.alias("home"), F.explode(values).alias("v")).select("domain", "v.*", F.when(F.col("v.zone").isNull(), F.col("home")).alias("home"))
+    page = F.min_by(F.struct("home.title", "home.logos", "home.copyright"), "home.place")
+    name = F.min_by("home.name", F.when(F.col("home.name").isNotNull(), F.col("home.place")))
+    return each.groupBy("domain", "zone", "value").agg(page.alias("home"), name.alias("name"))
 
 
 def brand_checked(rows: DataFrame, pages: DataFrame) -> DataFrame:
     """row, issues: whether a site is its company's. rows: row, company, domain; pages: domain, place, url, page.
 
     Whose it is else comes from other rows: their names meet the site's on their sound keys, so no pair of all rows is made."""
-    x = rows.withColumn("words", text.name_words(F.col("company"))).join(zones(pages), "domain", "left").join(brand_of(pages), "domain", "left")
-    own = fuzzy.name_fits_domain(F.col("company"), urls.core(F.col("domain")))
-    x = x.withColumns({"by_domain": own, "by_zone": fuzzy.any_token("words", "strong", F.lit(True))})
-    x = x.withColumn("by_text", fuzzy.any_token("words", F.when(~F.col("by_zone"), F.col("body")), F.lit(False)))  # long texts are read only where they decide
-    x = x.join(owners(rows), "row", "left")
+    sites, is_home = zones(pages), F.col("home").isNotNull() | F.col("name").isNotNull()  # both readers ask for the same columns and filter after the groups, so that Spark makes these once
+    asked = rows.select("domain", F.explode(text.name_words(F.col("company"))).alias("word")).distinct()
+    named = sites.filter(~is_home).join(asked, "domain").filter(fuzzy.stands_in("word", "value", "zone")).groupBy("domain", "word").agg(F.min("zone").alias("zone"))
+    known = sites.filter(is_home).select("domain", brand_of(F.col("home"), F.col("name"), F.col("domain")).alias("brand"))
+    companies = rows.select("domain", "company").distinct()
+    where = companies.withColumn("word", F.explode(text.name_words(F.col("company")))).join(named, ["domain", "word"]).groupBy("domain", "company").agg(F.min("zone").alias("zone"))
+    x = companies.join(known, "domain", "left").join(where, ["domain", "company"], "left")
+    x = x.withColumns({"words": text.name_words(F.col("company")), "by_domain": fuzzy.name_fits_domain(F.col("company"), urls.core(F.col("domain")))})
+    x = rows.select("row", "domain", "company").join(x.withColumnsRenamed({"domain": "d", "company": "c"}), F.col("domain").eqNullSafe(F.col("d")) & F.col("company").eqNullSafe(F.col("c")), "left").join(owners(rows), "row", "left")
+    unread = F.col("brand").isNull()
     ideographs = F.col("brand").rlike(fixed.CJK) & ~F.col("brand").rlike("(?i)[a-z]{3,}") & ~F.col("company").rlike(fixed.CJK)
     issue = (
         F.when(F.size("words") == 0, level(1, "no name"))
-        .when(F.col("strong").isNull() & F.col("by_domain"), level(1, "by domain only")).when(F.col("strong").isNull() & F.col("owner").isNotNull(), level(2, "domain of another row", F.col("owner")))
-        .when(F.col("strong").isNull(), level(1, "site unread")).when(F.col("by_zone"), level(0, "named by its site")).when(F.col("by_text"), level(1, "named in text only", F.col("brand")))
+        .when(unread & F.col("by_domain"), level(1, "by domain only")).when(unread & F.col("owner").isNotNull(), level(2, "domain of another row", F.col("owner")))
+        .when(unread, level(1, "site unread")).when(F.coalesce(F.col("zone") < fuzzy.BODY, F.lit(False)), level(0, "named by its site")).when(F.coalesce(F.col("zone") == fuzzy.BODY, F.lit(False)), level(1, "named in text only", F.col("brand")))
         .when(F.col("owner").isNull() & ideographs, level(1, "ideographs only")).otherwise(level(2, "another company's site", F.coalesce("owner", "brand")))
     )
     return x.select("row", F.array(issue).alias("issues"))
@@ -64,13 +76,21 @@ def brand_checked(rows: DataFrame, pages: DataFrame) -> DataFrame:
 
 def owners(rows: DataFrame) -> DataFrame:
     """row, owner: for each row the first other company whose name fits the row's domain. Pairs come from the sound keys of
-    name words and of the domain's parts, glued or not, and are then judged in full."""
-    key = text.squashed
-    words = rows.select(F.col("row").alias("other"), F.col("company").alias("named"), F.explode(text.name_words(F.col("company"))).alias("w")).withColumn("key", key(F.col("w")))
-    core = urls.core(F.col("domain"))
-    parts = rows.select("row", "company", core.alias("core"), F.explode(F.array_distinct(F.concat(F.split(core, "-"), F.array(F.replace(core, F.lit("-"), F.lit("")))))).alias("p")).withColumn("key", key(F.col("p")))
-    pairs = parts.join(words, "key").filter("row <> other and lower(trim(company)) <> lower(trim(named))").select("row", "core", "other", "named").distinct()
-    return pairs.filter(fuzzy.name_fits_domain(F.col("named"), F.col("core"))).groupBy("row").agg(F.min_by("named", "other").alias("owner"))
+    name words and of the domain's parts, glued or not, and are then judged in full.
+
+    Distinct names meet distinct brands of domains. A brand keeps its first name and its first one that differs from that:
+    one of the two is each row's."""
+    key, same = text.squashed, F.lower(F.trim("named"))
+    named = rows.groupBy(F.col("company").alias("named")).agg(F.min("row").alias("other"))
+    words = named.select("named", "other", F.explode(F.array_distinct(text.name_words(F.col("named")))).alias("w")).withColumn("key", key(F.col("w")))
+    cores = rows.select(urls.core(F.col("domain")).alias("core")).distinct()
+    parts = cores.select("core", F.explode(F.array_distinct(F.concat(F.split("core", "-"), F.array(F.replace(F.col("core"), F.lit("-"), F.lit("")))))).alias("p")).withColumn("key", key(F.col("p")))
+    pairs = parts.join(words, "key").select("core", "other", "named").distinct().filter(fuzzy.name_fits_domain(F.col("named"), F.col("core")))
+    spelled = pairs.groupBy("core", same.alias("name")).agg(F.min("other").alias("other"), F.min_by("named", "other").alias("named"))
+    two = spelled.groupBy("core").agg(F.min_by(F.struct("name", "named"), "other").alias("a"), F.min("other").alias("first"))
+    second = spelled.join(two.select("core", "first"), "core").filter("other <> first").groupBy("core").agg(F.min_by("named", "other").alias("b"))
+    mine = rows.select("row", F.lower(F.trim("company")).alias("name"), urls.core(F.col("domain")).alias("core")).join(two.join(second, "core", "left"), "core")
+    return mine.select("row", F.when(F.col("name") != F.col("a.name"), F.col("a.named")).when(F.col("name") == F.col("a.name"), F.col("b")).alias("owner")).filter("owner is not null")
 
 
 def mailbox_facts(pages: DataFrame) -> DataFrame:

@@ -222,3 +222,15 @@ def test_letters_and_problems(spark):
     assert value(spark, lambda a, b: campaign.same_site(a, b), "https://shop.a.ru/x", "a.ru") and not value(spark, lambda a, b: campaign.same_site(a, b), "ba.ru", "a.ru")
     assert value(spark, campaign.paragraph_differences, "a\n\nb\n\nc", "a\n\nB") == [2, 3]
     assert value(spark, lambda m: campaign.section(m, "Two"), "# One\nx\n## Two\ny\nz\n# Three\n") == "y\nz"
+
+
+def test_a_site_of_many_rows_and_pages_makes_no_pairs(spark):
+    names = ["Zxqvw Kkjjx", "Acme", "ACME ", "Acme Sale"]
+    rows = spark.range(4000).select(F.col("id").alias("row"), F.element_at(F.array(*map(F.lit, names)), (F.col("id") % 4 + 1).cast("int")).alias("company"), F.lit("acme.ru").alias("domain"))
+    owned = checks.owners(rows)
+    assert {(r.row % 4, r.owner) for r in owned.collect()} == {(0, "Acme"), (1, "Acme Sale"), (2, "Acme Sale"), (3, "Acme")}
+    html = F.concat(F.lit("<title>Acme</title><p>Text "), F.col("id") % 50, F.lit(" names Zxqvw"))
+    p = pages.parsed(spark.range(400).select(F.lit("acme.ru").alias("domain"), F.col("id").alias("place"), F.lit("https://acme.ru/").alias("url"), html.alias("html")))
+    found = checks.zones(p).filter("zone is not null")
+    assert found.count() < 100  # the distinct words, not those of all pages
+    assert {(r.row % 4, r.issues[0]["code"]) for r in checks.brand_checked(rows, p).collect()} == {(0, "named in text only"), (1, "named by its site"), (2, "named by its site"), (3, "named by its site")}
