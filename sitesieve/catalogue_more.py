@@ -585,9 +585,9 @@ def markdown_tables(read):
 def evidence_on_page(read):
     page = F.concat(F.lit("<p>Иванов Пётр, <b>директор</b> по сбыту</p> <a href='mailto:i"), "c_custkey", F.lit("@a.example'>i"), "c_custkey", F.lit("@a.example</a>"), F.lit("<p>"), F.rpad(F.lit(""), 400, "x"), F.lit(" Петров</p>"))
     e = F.concat(F.lit("i"), "c_custkey", F.lit("@a.example"))
-    c = read("customer").select("c_custkey", page.alias("page"), e.alias("e"))
-    gap = campaign.distance(F.col("page"), F.col("e"), F.lit("директор"))
-    return c.select("c_custkey", n(F.when(gap.between(5, 25), 20).otherwise(gap)).alias("gap"), n(campaign.distance(F.col("page"), F.col("e"), F.lit("Петров"))).alias("far"), campaign.is_printed(F.col("page"), F.col("e")).alias("printed"), campaign.is_labelled(F.col("page"), F.col("e"), F.lit("Сбыту")).alias("labelled"))
+    c = R.spread(read("customer").select("c_custkey")).select("c_custkey", page.alias("page"), e.alias("e"))
+    gap = fixed.let(campaign.distance(F.col("page"), F.col("e"), F.lit("директор")), lambda g: F.when(g.between(5, 25), 20).otherwise(g))
+    return c.select("c_custkey", n(gap).alias("gap"), n(campaign.distance(F.col("page"), F.col("e"), F.lit("Петров"))).alias("far"), campaign.is_printed(F.col("page"), F.col("e")).alias("printed"), campaign.is_labelled(F.col("page"), F.col("e"), F.lit("Сбыту")).alias("labelled"))
 
 
 @query("""select c_custkey, case when c_custkey % 2 = 0 and c_custkey % 3 = 0 and c_custkey % 5 = 0 then 'A' when c_custkey % 2 = 0 or c_custkey % 7 = 0 then 'B' else 'C' end as priority, case when c_custkey % 7 = 0 and c_custkey % 5 = 0 then 'A' when c_custkey % 7 = 0 then 'B' else 'C' end as level,

@@ -46,7 +46,7 @@ def places(x: Column, word: Column) -> Column:
     parts = F.split(x, F.concat(F.lit("\\Q"), word, F.lit("\\E")), -1)
     step = lambda acc, p: F.struct((acc["at"] + F.length(p) + F.length(word)).alias("at"), F.array_append(acc["out"], acc["at"] + F.length(p)).alias("out"))
     out = F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), step)["out"]
-    return F.when(F.coalesce(word, F.lit("")) == "", F.array().cast("array<int>")).otherwise(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))))
+    return F.when(F.coalesce(word, F.lit("")) == "", F.array().cast("array<int>")).otherwise(fixed.let(out, lambda o: F.slice(o, F.lit(1), F.greatest(F.size(o) - 1, F.lit(0)))))
 
 
 def address_places(x: Column, email: Column) -> Column:
@@ -54,25 +54,35 @@ def address_places(x: Column, email: Column) -> Column:
     return F.filter(places(x, email), lambda p: ~F.substring(x, p, F.lit(1)).rlike(r"[\w.+-]") & ~F.substring(x, p + F.length(email) + 1, F.lit(1)).rlike(r"[\w-]") | (p == 0) & ~F.substring(x, F.length(email) + 1, F.lit(1)).rlike(r"[\w-]"))
 
 
+def on_text(x: Column, email: Column, body) -> Column:
+    """body(text, small address) with both computed once for a row, whatever the number of places."""
+    return fixed.let(F.struct(x.alias("x"), F.lower(email).alias("e")), lambda v: body(v["x"], v["e"]))
+
+
 def distance(page: Column, email: Column, word: Column, within: int = WINDOW) -> Column:
     """Characters between the address and the word where they stand closest on a page; null if never within reach."""
-    x, e, w = folded(contact_text(page)), F.lower(email), folded(word)
-    gaps = F.flatten(F.transform(address_places(x, e), lambda p: F.transform(places(x, w), lambda q: F.when(q >= p, q - p - F.length(e)).otherwise(p - q - F.length(w)))))
-    return F.array_min(F.filter(gaps, lambda g: g.between(0, within)))
+
+    def closest(v: Column) -> Column:
+        gaps = F.flatten(F.transform(v["at"], lambda p: F.transform(v["to"], lambda q: F.when(q >= p, q - p - v["e"]).otherwise(p - q - v["w"]))))
+        return F.array_min(F.filter(gaps, lambda g: g.between(0, within)))
+
+    def found(x: Column, e: Column) -> Column:
+        return fixed.let(folded(word), lambda w: fixed.let(F.struct(address_places(x, e).alias("at"), places(x, w).alias("to"), F.length(e).alias("e"), F.length(w).alias("w")), closest))
+
+    return on_text(folded(contact_text(page)), email, found)
 
 
 def is_labelled(page: Column, email: Column, label: Column, within: int = WINDOW) -> Column:
-    x, e = F.lower(html.visible(page)), F.lower(email)
-    around = lambda p: F.substring(x, F.greatest(p - within, F.lit(0)) + 1, F.length(e) + 2 * within)
-    return F.exists(address_places(x, e), lambda p: around(p).contains(F.lower(label)))
+    around = lambda x, e, p: F.substring(x, F.greatest(p - within, F.lit(0)) + 1, F.length(e) + 2 * within)
+    return on_text(F.lower(html.visible(page)), email, lambda x, e: F.exists(address_places(x, e), lambda p: around(x, e, p).contains(F.lower(label))))
 
 
 def is_printed(page: Column, email: Column) -> Column:
-    return F.size(address_places(folded(html.visible(page)), F.lower(email))) > 0
+    return on_text(folded(html.visible(page)), email, lambda x, e: F.size(address_places(x, e)) > 0)
 
 
 def is_on_page(page: Column, email: Column) -> Column:
-    return F.size(address_places(F.lower(html.unescaped(page)), F.lower(email))) > 0
+    return on_text(F.lower(html.unescaped(page)), email, lambda x, e: F.size(address_places(x, e)) > 0)
 
 
 def uses_mail_domain(page: Column, email: Column) -> Column:

@@ -234,3 +234,15 @@ def test_a_site_of_many_rows_and_pages_makes_no_pairs(spark):
     found = checks.zones(p).filter("zone is not null")
     assert found.count() < 100  # the distinct words, not those of all pages
     assert {(r.row % 4, r.issues[0]["code"]) for r in checks.brand_checked(rows, p).collect()} == {(0, "named in text only"), (1, "named by its site"), (2, "named by its site"), (3, "named by its site")}
+
+
+def test_a_page_is_read_once_for_all_places_on_it(spark):
+    page, e = F.col("page"), F.col("e")
+    df = spark.createDataFrame([("<p>Петров, директор a@b.ru и xa@b.ru <!-- директор a@b.ru --> Сбыт</p>" + "x" * 400 + "<a href='mailto:a@b.ru'>директор</a>", "A@b.ru")], "page string, e string")
+    text_of = lambda c: df.select(c.alias("c"))._jdf.queryExecution().analyzed().toString()
+    assert text_of(campaign.distance(page, e, F.lit("директор"))).count("mailto:") == 1
+    for c in (campaign.is_printed(page, e), campaign.is_labelled(page, e, F.lit("сбыт"))):
+        assert text_of(c).count("noscript") == text_of(F.length(campaign.html.visible(page))).count("noscript")
+    assert text_of(campaign.is_on_page(page, e)).count("&nbsp;") == 1
+    got = df.select(campaign.distance(page, e, F.lit("директор")), campaign.distance(page, e, F.lit("нет")), campaign.is_printed(page, e), campaign.is_labelled(page, e, F.lit("СБЫТ")), campaign.is_on_page(page, F.lit("b@b.ru"))).first()
+    assert tuple(got) == (1, None, True, True, False)
