@@ -113,13 +113,9 @@ def self_join_duplicates(read):
 
 @query("""with p as (select p_partkey as id, p_name as nm, p_brand as b from part) select x.id as row, y.id as peer from p x join p y on x.b = y.b and x.id < y.id and levenshtein(x.nm, y.nm) <= 2""")
 def self_join_fuzzy_blocked(read):
-    """Near names are found among the distinct ones of a brand; rows come back by a join on the name."""
+    """Near names are found among the distinct ones of a brand; rows come back as pairs of bounded lists of their numbers."""
     p = read("part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), "p_brand")
-    near = R.near_strings(p, "name", 2, ["p_brand"])
-    same = p.select("p_brand", F.col("name").alias("a"), F.col("name").alias("b")).distinct()
-    names = near.unionByName(near.select("p_brand", F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(same)
-    side = lambda x, y: p.select("p_brand", F.col("name").alias(x), F.col("id").alias(y))
-    return names.join(side("a", "row"), ["p_brand", "a"]).join(side("b", "peer"), ["p_brand", "b"]).filter("row < peer").select("row", "peer")
+    return R.near_rows(p, "id", "name", 2, ["p_brand"]).select("row", "peer")
 
 
 @query("select c_custkey from customer where sha256(lower(trim(c_name, ' '))) not in (select sha256(lower(trim(c_name, ' '))) from customer where c_custkey % 10 = 0)")

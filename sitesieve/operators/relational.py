@@ -84,6 +84,24 @@ def near_strings(df: DataFrame, value: str, edits: int, on: Cols = []) -> DataFr
     return a.join(b, [*on, "_key"]).filter("a < b").select(*on, "a", "b").distinct().filter(F.levenshtein("a", "b", edits) >= 0)
 
 
+def near_rows(df: DataFrame, row: str, value: str, edits: int, on: Cols = [], size: int = 1000) -> DataFrame:  # noqa: B006
+    """row, peer: pairs of rows, row < peer, whose values are equal or within `edits` edits. The result is quadratic in the
+    rows of a value, so the work is too: rows of a value are dealt into lists of some `size` numbers, pairs of lists are the
+    rows that are shuffled, evenly and in the end only, and a list is all that a task holds of a value."""
+    known = df.select(*on, F.col(value).alias("a"), F.col(row).alias("id")).dropna()
+    parts = known.groupBy(*on, "a").agg(F.ceil(F.count("*") / size).alias("parts"))
+    part = F.pmod(F.xxhash64("id"), F.col("parts"))
+    lists = known.join(parts, [*on, "a"]).groupBy(*on, "a", part.alias("part")).agg(F.collect_list("id").alias("ids"))
+    sizes = parts.select(*on, "a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    other = lambda x: x.select(*on, F.col("a").alias("b"), F.col("part").alias("peer_part"))
+    near = near_strings(df, value, edits, on).join(sizes, [*on, "a"]).join(other(sizes), [*on, "b"])
+    same = sizes.withColumn("b", F.col("a")).join(other(sizes), [*on, "b"]).filter("part <= peer_part")
+    tiles = near.unionByName(same).withColumn("one", (F.col("a") == F.col("b")) & (F.col("part") == F.col("peer_part")))
+    full = tiles.join(lists, [*on, "a", "part"]).join(lists.select(*on, F.col("a").alias("b"), F.col("part").alias("peer_part"), F.col("ids").alias("peers")), [*on, "b", "peer_part"])
+    pairs = spread(full.select("one", "ids", "peers")).select("one", "peers", F.explode("ids").alias("x")).select("one", "x", F.explode("peers").alias("y"))
+    return pairs.filter("if(one, x < y, x <> y)").select(F.least("x", "y").alias("row"), F.greatest("x", "y").alias("peer"))
+
+
 def band_join(left: DataFrame, right: DataFrame, on: Cols, a: str, b: str, width: int) -> DataFrame:
     """Rows of equal keys with |a - b| <= width; buckets of the width make the band part of the equi key."""
     l = left.withColumn("_cell", F.explode(F.array(*[F.floor(F.col(a) / width) + i for i in (-1, 0, 1)])))

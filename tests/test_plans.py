@@ -246,3 +246,17 @@ def test_a_page_is_read_once_for_all_places_on_it(spark):
     assert text_of(campaign.is_on_page(page, e)).count("&nbsp;") == 1
     got = df.select(campaign.distance(page, e, F.lit("директор")), campaign.distance(page, e, F.lit("нет")), campaign.is_printed(page, e), campaign.is_labelled(page, e, F.lit("СБЫТ")), campaign.is_on_page(page, F.lit("b@b.ru"))).first()
     assert tuple(got) == (1, None, True, True, False)
+
+
+def test_near_rows_meet_as_lists_that_are_dealt_out(spark):
+    words = F.element_at(F.array(*map(F.lit, ["bolt", "bold", "boots", "nut", None])), (F.col("id") % 5 + 1).cast("int"))
+    df = spark.range(600).select("id", words.alias("w"), F.when(F.col("id") % 7 < 5, F.col("id") % 2).alias("g"))
+    df = df.unionByName(df.filter("id < 20"))  # numbers that repeat
+    rows = df.collect()
+    near = {("bolt", "bold"), ("bolt", "boots")}
+    alike = lambda a, b: a is not None and b is not None and (a == b or (a, b) in near or (b, a) in near)
+    wanted = sorted((x.id, y.id) for x in rows for y in rows if x.id < y.id and x.g is not None and x.g == y.g and alike(x.w, y.w))
+    for size in (7, 1000):
+        assert sorted(map(tuple, R.near_rows(df, "id", "w", 2, ["g"], size).collect())) == wanted
+    plan = R.near_rows(df, "id", "w", 2, ["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(peers") < plan.index("Repartition") < plan.index("Join")  # pairs are made last, from lists dealt out
