@@ -399,7 +399,7 @@ def grounded_quote(read):
     low = lambda c: F.lower(text.collapsed(F.col(c)))
     items = read("benchmark").select("item_id", low("text").alias("q"))
     d = read("documents").select("doc_id", low("text").alias("t"), (F.col("doc_id") % 40).alias("item_id"))
-    return d.join(F.broadcast(items.limit(1000)), "item_id").select("doc_id", facts.is_grounded(F.col("q"), F.col("t")).alias("grounded"))  # at most the 40 items of the contract's benchmark are asked for
+    return d.join(F.broadcast(items.filter("item_id between -39 and 39")), "item_id").select("doc_id", facts.is_grounded(F.col("q"), F.col("t")).alias("grounded"))  # all the items that a document can ask for
 
 
 PAGE = "Завод Ромашка\n30.04.2024 Запустили новую линию резки на 2000 тонн в год\nСтанки для металла и дерева с доставкой"

@@ -123,9 +123,9 @@ def is_grounded(quote: Column, content: Column) -> Column:
     85 % are there."""
     words = lambda x: F.regexp_extract_all(x, F.lit(r"(?U)[^\W_]{3,}"), F.lit(0))
     parts = F.filter(F.split(quote, r"(?U)\s*(?:\.\.\.|…|;)\s*"), lambda p: F.regexp_replace(p, "[ .,]", "") != "")
-    known = F.array_distinct(words(content))
-    share = lambda p: F.size(F.filter(words(p), lambda w: F.array_contains(known, w))) / F.greatest(F.size(words(p)), F.lit(1))
-    return (F.size(parts) > 0) & F.forall(parts, lambda p: content.contains(p) | ((F.size(words(p)) >= 4) & (share(p) >= 0.85)))
+    share = lambda own, known: F.size(F.filter(own, lambda w: F.array_contains(known, w))) / F.greatest(F.size(own), F.lit(1))
+    fits = lambda p, known: content.contains(p) | fixed.let(words(p), lambda own: (F.size(own) >= 4) & (share(own, known) >= 0.85))
+    return fixed.let(F.struct(parts.alias("parts"), F.array_distinct(words(content)).alias("known")), lambda v: (F.size(v["parts"]) > 0) & F.forall(v["parts"], lambda p: fits(p, v["known"])))
 
 
 def located(key: Column, lines: Column) -> Column:

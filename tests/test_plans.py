@@ -260,3 +260,15 @@ def test_near_rows_meet_as_lists_that_are_dealt_out(spark):
         assert sorted(map(tuple, R.near_rows(df, "id", "w", 2, ["g"], size).collect())) == wanted
     plan = R.near_rows(df, "id", "w", 2, ["g"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode(peers") < plan.index("Repartition") < plan.index("Join")  # pairs are made last, from lists dealt out
+
+
+def test_a_quote_reads_its_content_once_and_every_item_that_is_asked_for(spark):
+    from sitesieve import catalogue_more
+
+    df = spark.createDataFrame([("one two; new words that are here and missing", "one two x here are words that now new and")], "q string, c string").select(facts.is_grounded(F.col("q"), F.col("c")).alias("g"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.index("array_distinct(") < plan.index("forall(")  # not again for each word of the quote
+    assert df.first().g is True  # six of seven words
+    tables = {"benchmark": spark.range(3000).select((2999 - F.col("id")).alias("item_id"), F.concat(F.lit("Item "), 2999 - F.col("id")).alias("text")), "documents": spark.range(80).select(F.col("id").alias("doc_id"), F.concat(F.lit("the item  "), F.col("id") % 40).alias("text"))}
+    got = catalogue_more.grounded_quote(tables.get).collect()
+    assert len(got) == 80 and all(r.grounded for r in got)
