@@ -294,7 +294,7 @@ def email_spans(read):
 @query()
 def name_and_title_spans(read):
     line = F.concat(F.lit("Директор Иванов Пётр Ильич ("), F.col("c_custkey"), F.lit("), Ольга Смирнова, коммерческий директор: тел. 1"))
-    x = read("customer").select("c_custkey", people.name_spans(line).alias("names"), people.title_spans(line).alias("titles"))
+    x = R.spread(read("customer").select("c_custkey")).select("c_custkey", people.name_spans(line).alias("names"), people.title_spans(line).alias("titles"))
     return x.select("c_custkey", F.array_join(F.transform("names", lambda s: s["text"]), ",").alias("names"), F.array_join(F.transform("titles", lambda s: s["text"]), ",").alias("titles"))
 
 

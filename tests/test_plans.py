@@ -272,3 +272,20 @@ def test_a_quote_reads_its_content_once_and_every_item_that_is_asked_for(spark):
     tables = {"benchmark": spark.range(3000).select((2999 - F.col("id")).alias("item_id"), F.concat(F.lit("Item "), 2999 - F.col("id")).alias("text")), "documents": spark.range(80).select(F.col("id").alias("doc_id"), F.concat(F.lit("the item  "), F.col("id") % 40).alias("text"))}
     got = catalogue_more.grounded_quote(tables.get).collect()
     assert len(got) == 80 and all(r.grounded for r in got)
+
+
+def test_words_of_names_are_judged_once_and_rows_are_dealt_out(spark, monkeypatch):
+    from sitesieve import catalogue_more
+
+    judged = []
+    grammar, is_surname = people.Names(), people.Names.is_surname
+    monkeypatch.setattr(people.Names, "is_surname", lambda self, w: (judged.append(w), is_surname(self, w))[1])
+    monkeypatch.setattr(people, "_WORDS_KEPT", 8)
+    found = {tuple(p for *_, p in grammar.find(f"Директор Иванов Пётр Ильич ({k}), Ольга Смирнова")) for k in range(500)}
+    assert found == {(people.Person("Иванов", "Пётр", "Ильич"), people.Person("Смирнова", "Ольга"))} and len(judged) < 20
+    [grammar.find(f"Слово{'а' * k}") for k in range(50)]
+    assert len(grammar._kinds) <= 8
+    customers = spark.range(100).select(F.col("id").alias("c_custkey")).coalesce(1)
+    x = catalogue_more.name_and_title_spans(lambda name: customers)
+    sizes = [len(p) for p in x.rdd.glom().collect()]
+    assert len(sizes) > 1 and max(sizes) < 50
